@@ -105,10 +105,11 @@ def confusion(
 def threshold_counts(
     df: DataFrame, label: str, score: str, bins: int | None = None, weight: str | None = None
 ) -> DataFrame:
-    """(threshold, tp, fp): positives and negatives scored at or above each distinct score.
+    """(threshold, pos, neg, tp, fp, all_pos, all_neg) per distinct score.
 
-    The rows are first combined per score. With ``bins``, scores in [0, 1] are cut down
-    to that many steps, and the running sum is over at most bins + 1 rows.
+    tp and fp count what is scored at or above the threshold. The rows are first
+    combined per score. With ``bins``, scores in [0, 1] are cut down to that many
+    steps, and the running sum is over at most bins + 1 rows.
     """
     require(df, [label, score])
     step = F.col(score)
@@ -121,45 +122,41 @@ def threshold_counts(
         .groupBy(step.alias("threshold"))
         .agg(_sum_if(F.col(label) == 1, w).alias("pos"), _sum_if(F.col(label) != 1, w).alias("neg"))
     )
-    if bins is not None:
-        window = W.partitionBy().orderBy(F.desc("threshold")).rowsBetween(W.unboundedPreceding, 0)
-        summed = per_score.withColumns({"tp": F.sum("pos").over(window), "fp": F.sum("neg").over(window)})
-    else:
-        summed = running_sums(per_score, [F.desc("threshold")], {"tp": "pos", "fp": "neg"})
-    return summed
+    if bins is None:
+        totals = {"all_pos": "pos", "all_neg": "neg"}
+        return running_sums(per_score, [F.desc("threshold")], {"tp": "pos", "fp": "neg"}, totals=totals)
+    window = W.partitionBy().orderBy(F.desc("threshold")).rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy()
+    return per_score.withColumns(
+        {
+            "tp": F.sum("pos").over(window),
+            "fp": F.sum("neg").over(window),
+            "all_pos": F.sum("pos").over(whole),
+            "all_neg": F.sum("neg").over(whole),
+        }
+    )
 
 
 def roc_curve(df: DataFrame, label: str, score: str, bins: int | None = None, weight: str | None = None) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, from high to low; the point (0, 0) is left implicit."""
     counts = threshold_counts(df, label, score, bins, weight)
-    pos, neg = _totals(df, label, score, weight)
     return counts.select(
         "threshold",
-        ratio(F.col("fp"), F.lit(neg)).alias("fpr"),
-        ratio(F.col("tp"), F.lit(pos)).alias("tpr"),
+        ratio(F.col("fp"), F.col("all_neg")).alias("fpr"),
+        ratio(F.col("tp"), F.col("all_pos")).alias("tpr"),
     )
 
 
 def pr_curve(df: DataFrame, label: str, score: str, bins: int | None = None, weight: str | None = None) -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
     counts = threshold_counts(df, label, score, bins, weight)
-    pos, _ = _totals(df, label, score, weight)
     return counts.select(
         "threshold",
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-        ratio(F.col("tp"), F.lit(pos)).alias("recall"),
+        ratio(F.col("tp"), F.col("all_pos")).alias("recall"),
     )
 
 
-def _totals(df: DataFrame, label: str, score: str, weight: str | None) -> tuple[float, float]:
-    w = F.col(weight) if weight else F.lit(1)
-    known = F.col(label).isNotNull() & F.col(score).isNotNull()
-    row = df.agg(
-        _sum_if(known & (F.col(label) == 1), w).alias("pos"), _sum_if(known & (F.col(label) != 1), w).alias("neg")
-    ).first()
-    return float(row["pos"]), float(row["neg"])
-
-
 def areas(df: DataFrame, label: str, score: str, bins: int | None = None, weight: str | None = None) -> DataFrame:
     """One row: area under the ROC curve (trapezoids) and average precision (steps).
 

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import quoted, require
-from riskflow.plans.shared import materialize
 
 MAX_BACKGROUND = 1000
 
@@ -147,22 +146,15 @@ def kernel_shap(
         ],
     )
     means = score(mixed).groupBy("_key", "_term").agg(F.avg(F.col(prediction).cast("double")).alias("_y"))
-    means = materialize(means, "coalitions")
 
     solved = means.withColumn("_t", F.from_json(F.lit(json.dumps(terms)), term_type)[F.col("_term")])
     full, empty = len(terms) - 2, len(terms) - 1
-    at = {
-        "score": F.max(F.when(F.col("_term") == full, F.col("_y"))),
-        "base": F.max(F.when(F.col("_term") == empty, F.col("_y"))),
-    }
-    ends = means.groupBy("_key").agg(*[e.alias(n) for n, e in at.items()])
-    aggs = []
-    for j in range(len(names) - 1):
-        weight = F.col("_t.solve")[j]
-        aggs.append(F.sum(weight * F.col("_y")).alias(f"_a{j}"))
+    sums = solved.groupBy("_key").agg(
+        F.max(F.when(F.col("_term") == full, F.col("_y"))).alias("score"),
+        F.max(F.when(F.col("_term") == empty, F.col("_y"))).alias("base"),
+        *[F.sum(F.col("_t.solve")[j] * F.col("_y")).alias(f"_a{j}") for j in range(len(names) - 1)],
+    )
     # the base and the slope enter with constant factors
-    sums = solved.groupBy("_key").agg(*aggs) if aggs else means.select("_key").distinct()
-    joined = ends.join(sums, "_key")
     total = F.col("score") - F.col("base")
     phis = [
         F.col(f"_a{j}") - F.col("base") * F.lit(float(matrix[j].sum())) - total * F.lit(float(matrix[j] @ slope))
@@ -173,7 +165,7 @@ def kernel_shap(
         last = last - phi
     phis.append(last)
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), p.alias("phi")) for c, p in zip(names, phis)])
-    return joined.select(F.col("_key").alias(key), F.explode(entries).alias("_e"), "base", "score").select(
+    return sums.select(F.col("_key").alias(key), F.explode(entries).alias("_e"), "base", "score").select(
         key, "_e.feature", "_e.phi", "base", "score"
     )
 

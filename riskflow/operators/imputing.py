@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import known, quoted, require, type_of
-from riskflow.operators.profiling import quantiles, type_is_numeric
+from riskflow.operators.profiling import quantiles, quantiles_of, type_is_numeric, value_frequencies
 from riskflow.plans.lookup import lookup_join
 from riskflow.plans.shared import materialize
 
@@ -23,9 +23,7 @@ def fit_impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> di
     """Fill value per column: mean, exact median, or most common value (ties: the smallest)."""
     require(df, cols)
     if strategy in ("mean", "median"):
-        text = [c for c in cols if not type_is_numeric(df, c)]
-        if text:
-            raise ValueError(f"{strategy} needs numbers; {', '.join(text)} hold none")
+        _need_numbers(df, cols, strategy)
     if strategy == "mean":
         row = df.agg(*[F.avg(known(df, c)).cast("double").alias(f"_{i}") for i, c in enumerate(cols)]).first()
         fills = {c: row[f"_{i}"] for i, c in enumerate(cols)}
@@ -33,20 +31,32 @@ def fit_impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> di
         rows = quantiles(df, cols, [0.5]).collect()
         fills = {r["column"]: r["value"] for r in rows}
     elif strategy == "mode":
-        fills = {c: _mode(df, c) for c in cols}
+        fills = {
+            c: _most_common(df.groupBy(known(df, c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))) for c in cols
+        }
     else:
         raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
+    _need_fills(cols, fills)
+    return fills
+
+
+def _need_numbers(df: DataFrame, cols: Sequence[str], strategy: str) -> None:
+    text = [c for c in cols if not type_is_numeric(df, c)]
+    if text:
+        raise ValueError(f"{strategy} needs numbers; {', '.join(text)} hold none")
+
+
+def _need_fills(cols: Sequence[str], fills: Mapping[str, object]) -> None:
     empty = [c for c in cols if fills.get(c) is None]
     if empty:
         raise ValueError(f"no value to impute from in {', '.join(empty)}")
-    return fills
 
 
-def _mode(df: DataFrame, col: str):
-    value = known(df, col)
-    counts = df.where(value.isNotNull()).groupBy(value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+def _most_common(counts: DataFrame):
+    """Value with the most rows of (_v, _n), the smallest one on a tie."""
     # smallest (-n, value): most rows, then the smallest value
-    return counts.agg(F.min(F.struct((-F.col("_n")).alias("_n"), "_v"))["_v"]).first()[0]
+    smallest = F.min(F.struct((-F.col("_n")).alias("_n"), "_v"))["_v"]
+    return counts.where(F.col("_v").isNotNull()).agg(smallest).first()[0]
 
 
 def apply_impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
@@ -66,48 +76,60 @@ def impute(
 ) -> DataFrame:
     """Fill missing values by a statistic of the column, of the row's group (``by``), or a literal.
 
-    A group without values falls back to the statistic of the whole column.
+    A group without values, and a row whose group is null, takes the statistic of the whole column.
     """
     require(df, [*cols, *(by or [])])
     if strategy == "literal":
         if value is None:
             raise ValueError("a literal strategy needs a value")
         return apply_impute(df, {c: value for c in cols})
-    fills = fit_impute(df, cols, strategy)
     if not by:
-        return apply_impute(df, fills)
-    filled = _group_fill(df, cols, strategy, list(by))
-    return apply_impute(filled, fills)
-
-
-def _group_fill(df: DataFrame, cols: Sequence[str], strategy: str, by: list[str]) -> DataFrame:
-    sizes = F.count(F.lit(1)).alias("_group_rows")
-    if strategy == "mean":
-        stats = df.groupBy(*by).agg(sizes, *[F.avg(known(df, c)).cast("double").alias(f"_fill_{c}") for c in cols])
-    elif strategy == "median":
-        per_group = quantiles(df, cols, [0.5], by)
-        medians = per_group.groupBy(*by).agg(
-            *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"_fill_{c}") for c in cols]
-        )
-        stats = _same_groups(df.groupBy(*by).agg(sizes), medians, by)
-    else:
-        stats = df.groupBy(*by).agg(sizes)
-        for c in cols:
-            value = known(df, c)
-            counts = df.where(value.isNotNull()).groupBy(*by, value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-            smallest = F.min(F.struct((-F.col("_n")).alias("_n"), "_v"))["_v"]
-            stats = _same_groups(stats, counts.groupBy(*by).agg(smallest.alias(f"_fill_{c}")), by)
-    stats = materialize(stats.withColumnsRenamed({g: f"_by_{g}" for g in by}), "groups")
+        return apply_impute(df, fit_impute(df, cols, strategy))
+    stats, fills = _fit_by_group(df, list(cols), strategy, list(by))
     joined = lookup_join(
         df, stats, [(g, f"_by_{g}") for g in by], [f"_fill_{c}" for c in cols], weight="_group_rows"
     )
-    fill = {c: F.coalesce(known(df, c), F.col(quoted(f"_fill_{c}"))) for c in cols}
-    return joined.withColumns(fill).drop(*[f"_fill_{c}" for c in cols])
+    own = {c: F.coalesce(known(df, c), F.col(quoted(f"_fill_{c}"))) for c in cols}
+    return apply_impute(joined.withColumns(own).drop(*[f"_fill_{c}" for c in cols]), fills)
 
 
-def _same_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Left join of two tables with one row per group."""
-    return left.join(right, by, "left")
+def _fit_by_group(df: DataFrame, cols: list[str], strategy: str, by: list[str]) -> tuple[DataFrame, dict]:
+    """Stored fills per group, and those of whole columns, both from one scan of the data."""
+    if strategy in ("mean", "median"):
+        _need_numbers(df, cols, strategy)
+    if strategy == "mean":
+        sums = [F.sum(known(df, c).cast("double")).alias(f"_sum_{c}") for c in cols]
+        counts = [F.count(known(df, c)).alias(f"_count_{c}") for c in cols]
+        stored = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_group_rows"), *sums, *counts), "groups")
+        mean = {c: F.try_divide(F.col(f"_sum_{c}"), F.col(f"_count_{c}")).alias(f"_fill_{c}") for c in cols}
+        stats = stored.select(*by, "_group_rows", *mean.values())
+        row = stored.agg(
+            *[F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}")).alias(f"_{i}") for i, c in enumerate(cols)]
+        ).first()
+        fills = {c: row[f"_{i}"] for i, c in enumerate(cols)}
+    elif strategy == "median":
+        stored = materialize(value_frequencies(df, cols, by, missing=True), "frequencies")
+        present = stored.where(F.col("value").isNotNull())
+        medians = quantiles_of(present, [0.5], by)
+        rows = stored.where(F.col("column") == cols[0]).groupBy(*by).agg(F.sum("n").alias("_group_rows"))
+        per_column = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"_fill_{c}") for c in cols]
+        stats = rows.join(medians.groupBy(*by).agg(*per_column), by, "left")
+        overall = present.groupBy("column", "value").agg(F.sum("n").alias("n"))
+        found = quantiles_of(overall, [0.5]).collect()  # one row per column
+        fills = {r["column"]: r["value"] for r in found}
+    elif strategy == "mode":
+        stats, fills = None, {}
+        for c in cols:
+            counted = df.groupBy(*by, known(df, c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+            stored = materialize(counted, "frequencies")
+            most = F.min(F.when(F.col("_v").isNotNull(), F.struct((-F.col("_n")).alias("_n"), "_v")))["_v"]
+            one = stored.groupBy(*by).agg(F.sum("_n").alias("_group_rows"), most.alias(f"_fill_{c}"))
+            stats = one if stats is None else stats.join(one.drop("_group_rows"), by, "left")
+            fills[c] = _most_common(stored.groupBy("_v").agg(F.sum("_n").alias("_n")))
+    else:
+        raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
+    _need_fills(cols, fills)
+    return materialize(stats.withColumnsRenamed({g: f"_by_{g}" for g in by}), "groups"), fills
 
 
 def fit_standardize(df: DataFrame, cols: Sequence[str], ddof: int = 0) -> dict[str, tuple[float, float]]:

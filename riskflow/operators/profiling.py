@@ -66,8 +66,10 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return value_counts(df, label)
 
 
-def value_frequencies(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
-    """(group, column, value, n) of numeric columns, missing values left out.
+def value_frequencies(
+    df: DataFrame, cols: Sequence[str], group: Sequence[str] = (), missing: bool = False
+) -> DataFrame:
+    """(group, column, value, n) of numeric columns; rows without a value only on request.
 
     Rows are combined on the map side, so what is shuffled is at most one row per
     distinct value and task.
@@ -75,11 +77,9 @@ def value_frequencies(df: DataFrame, cols: Sequence[str], group: Sequence[str] =
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), known(df, c).cast("double").alias("value")) for c in cols])
     long = df.select(*[quoted(g) for g in group], F.explode(pairs).alias("_pair"))
     long = long.select(*[quoted(g) for g in group], "_pair.column", "_pair.value")
-    return (
-        long.where(F.col("value").isNotNull())
-        .groupBy(*group, "column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    if not missing:
+        long = long.where(F.col("value").isNotNull())
+    return long.groupBy(*group, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quantiles(
@@ -97,15 +97,7 @@ def quantiles(
 def quantiles_of(frequencies: DataFrame, shares: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
     """Quantiles from a table (group, column, value, n)."""
     keys = [*group, "column"]
-    ranked = running_sums(frequencies, ["value"], {"upto": "n"}, keys, few_groups=not group)
-    totals = ranked.groupBy(*keys).agg(F.max("upto").alias("_total"))
-    totals = totals.select(*[F.col(k).alias(f"_{k}") for k in keys], "_total")
-    same = [ranked[k].eqNullSafe(totals[f"_{k}"]) for k in keys]
-    condition = same[0]
-    for pair in same[1:]:
-        condition = condition & pair
-    # with a few columns and no group the totals are one row per column
-    ranked = ranked.join(F.broadcast(totals) if not group else totals, condition)
+    ranked = running_sums(frequencies, ["value"], {"upto": "n"}, keys, {"_total": "n"}, few_groups=not group)
     wanted = ranked.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
     place = F.col("share") * (F.col("_total") - 1)
     first = F.col("upto") - F.col("n")

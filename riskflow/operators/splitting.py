@@ -46,15 +46,35 @@ def with_split(
     total = sum(weights)
     if stratify is None:
         return df.withColumn(out, _assign(hash_slot(F.col(quoted(key)), seed, total), weights, names))
-    hashed = df.withColumn("_hash", key_hash(F.col(quoted(key)), seed))
-    ranked = with_positions(hashed, ["_hash", quoted(key)], [stratify], out="_rank", few_groups=True)
-    counts = df.groupBy(quoted(stratify)).agg(F.count(F.lit(1)).alias("_class_rows"))
-    counts = materialize(counts.withColumnRenamed(stratify, "_class"), "classes")
-    sized = lookup_join(ranked, counts, [(stratify, "_class")], ["_class_rows"], weight=None)
-    slot = F.floor(F.col("_rank") * total / F.col("_class_rows"))
-    # rows without a label are cut by their hash
-    slot = F.coalesce(slot, hash_slot(F.col(quoted(key)), seed, total))
-    return sized.withColumn(out, _assign(slot, weights, names)).drop("_hash", "_rank", "_class_rows")
+    return _stratified(df, key, seed, weights, names, out, stratify)
+
+
+def _stratified(df, key, seed, weights, names, out, stratify) -> DataFrame:
+    """Cut each label where its hashed keys reach the wanted shares.
+
+    Only (label, hash, key) is sorted. The cuts are one row per label, and telling
+    the part of a row is a comparison with them.
+    """
+    total = sum(weights)
+    spot = F.struct(key_hash(F.col(quoted(key)), seed).alias("hash"), F.col(quoted(key)).alias("key"))
+    slim = df.select(F.col(quoted(stratify)).alias("_class"), spot.alias("_spot")).where(F.col("_class").isNotNull())
+    ranked = with_positions(slim, ["_spot"], ["_class"], out="_rank", few_groups=True, size="_size")
+    slot = F.floor(F.col("_rank") * total / F.col("_size"))
+    edges = [sum(weights[: i + 1]) for i in range(len(weights) - 1)]
+    cuts = ranked.groupBy("_class").agg(
+        F.count(F.lit(1)).alias("_class_rows"),
+        *[F.min(F.when(slot >= edge, F.col("_spot"))).alias(f"_cut{i}") for i, edge in enumerate(edges)],
+    )
+    cut_names = [f"_cut{i}" for i in range(len(edges))]
+    cuts = materialize(cuts, "cuts")
+    placed = lookup_join(df, cuts, [(stratify, "_class")], ["_class_rows", *cut_names], weight=None)
+    choice = F.lit(names[-1])
+    for name, cut in reversed(list(zip(names, cut_names))):
+        choice = F.when(F.col(cut).isNull() | (spot < F.col(cut)), F.lit(name)).otherwise(choice)
+    # rows without a label are cut by their hash alone
+    plain = _assign(hash_slot(F.col(quoted(key)), seed, total), weights, names)
+    result = F.when(F.col(quoted(stratify)).isNull(), plain).otherwise(choice)
+    return placed.withColumn(out, result).drop("_class_rows", *cut_names)
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

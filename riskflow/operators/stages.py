@@ -45,10 +45,21 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _with_vector(dataset: DataFrame, out: str, values: Sequence[Column]) -> DataFrame:
-    """Add a vector column that states its size, so that the assembler need not read a row to find it."""
-    vector = array_to_vector(F.array(*values).cast("array<double>"))
-    return dataset.withColumn(out, vector).withMetadata(out, {"ml_attr": {"num_attrs": len(values)}})
+class FeatureVector(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Joins array columns into one vector column, in the order given.
+
+    One conversion per row; vectors per part would be converted and then copied again.
+    """
+
+    @keyword_only
+    def __init__(self, inputCols: Sequence[str] | None = None, outputCol: str | None = None) -> None:
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        parts = self.getInputCols()
+        slots = F.concat(*parts) if len(parts) > 1 else F.col(parts[0])
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(slots))
 
 
 class NumericFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -91,7 +102,7 @@ class NumericFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, Default
             (F.coalesce(_number(c), F.lit(mean)) - F.lit(mean)) / F.lit(scale)
             for c, mean, scale in zip(self.getInputCols(), found["means"], found["scales"])
         ]
-        return _with_vector(dataset, self.getOutputCol(), values)
+        return dataset.withColumn(self.getOutputCol(), F.array(*values))
 
 
 class OneHotFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -146,5 +157,5 @@ class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultP
             if found["unknown"] == "indicator":
                 seen = value.isin(slot["values"]) if slot["values"] else F.lit(False)
                 entries.append(F.when(seen, F.lit(0.0)).otherwise(F.lit(1.0)))
-        return _with_vector(dataset, self.getOutputCol(), entries)
+        return dataset.withColumn(self.getOutputCol(), F.array(*entries).cast("array<double>"))
 

@@ -21,7 +21,14 @@ from pyspark.storagelevel import StorageLevel
 from riskflow.functions.columns import quoted, require
 from riskflow.operators.evaluation import evaluate
 from riskflow.operators.splitting import with_class_weight, with_split
-from riskflow.operators.stages import ColumnSelector, NumericFeatures, NumericFeaturesModel, OneHotFeatures, OneHotFeaturesModel
+from riskflow.operators.stages import (
+    ColumnSelector,
+    FeatureVector,
+    NumericFeatures,
+    NumericFeaturesModel,
+    OneHotFeatures,
+    OneHotFeaturesModel,
+)
 
 # fixed values: the regularisation constant and the seed of the reference trial
 DEFAULT_C = 0.17557554126131178
@@ -41,7 +48,7 @@ class FeatureSpec:
 
 
 def preprocess_stages(spec: FeatureSpec, out: str = "features") -> list:
-    """Column selector, one stage per way of preparation, and the assembler."""
+    """Column selector, one stage per way of preparation, and the stage that joins the parts."""
     stages: list = [ColumnSelector(inputCols=spec.columns())]
     parts = []
     if spec.binary:
@@ -55,7 +62,7 @@ def preprocess_stages(spec: FeatureSpec, out: str = "features") -> list:
         parts.append("_one_hot")
     if not parts:
         raise ValueError("no feature columns given")
-    stages.append(VectorAssembler(inputCols=parts, outputCol=out))
+    stages.append(FeatureVector(inputCols=parts, outputCol=out))
     return stages
 
 

@@ -64,9 +64,12 @@ def with_positions(
     group: Sequence[str] = (),
     out: str = "position",
     few_groups: bool = False,
+    size: str | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row within its group, in the given order.
 
+    ``size`` names a further column with the rows of the group.
+
     The order must be total within a group for the result to be repeatable.
     ``few_groups`` says that the number of groups does not grow with the data.
     """
@@ -78,7 +81,11 @@ def with_positions(
         stored,
         group,
         [F.min(_SEQUENCE).alias("_first"), F.count(F.lit(1)).alias("_rows")],
-        {"_first": F.col("_first"), "_prior": F.coalesce(F.sum("_rows").over(_before(group)), F.lit(0))},
+        {
+            "_first": F.col("_first"),
+            "_prior": F.coalesce(F.sum("_rows").over(_before(group)), F.lit(0)),
+            **({size: F.sum("_rows").over(W.partitionBy(*group))} if size else {}),
+        },
         few_groups,
     )
     position = F.col(_SEQUENCE) - F.col("_first") + F.col("_prior")
@@ -90,19 +97,27 @@ def running_sums(
     order: Sequence[str | Column],
     sums: Mapping[str, str],
     group: Sequence[str] = (),
+    totals: Mapping[str, str] | None = None,
     few_groups: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums ``{output: input column}`` within each group.
 
-    Input columns must not be null; the order must be total within a group.
+    ``totals`` adds sums over the whole group, which cost nothing more. Input columns
+    must not be null; the order must be total within a group.
     """
+    totals = dict(totals or {})
     ordered = df.orderBy(*group, *order).withColumn(_STRETCH, F.spark_partition_id())
     stored = materialize(ordered, "ordered")
+    inputs = sorted({*sums.values(), *totals.values()})
+    whole = W.partitionBy(*group)
     placed = _attach_offsets(
         stored,
         group,
-        [F.sum(source).alias(f"_sum_{out}") for out, source in sums.items()],
-        {f"_from_{out}": F.sum(f"_sum_{out}").over(_before(group)) for out in sums},
+        [F.sum(source).alias(f"_sum_{source}") for source in inputs],
+        {
+            **{f"_from_{out}": F.sum(f"_sum_{source}").over(_before(group)) for out, source in sums.items()},
+            **{out: F.sum(f"_sum_{source}").over(whole) for out, source in totals.items()},
+        },
         few_groups,
     )
     within = W.partitionBy(*group, _STRETCH).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
@@ -110,4 +125,4 @@ def running_sums(
         (F.coalesce(F.col(f"_from_{out}"), F.lit(0)) + F.sum(source).over(within)).alias(out)
         for out, source in sums.items()
     ]
-    return placed.select(*df.columns, *running)
+    return placed.select(*df.columns, *running, *totals)
