@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from riskflow.functions.columns import NUMERIC, count_if, is_missing, known, quoted, ratio, require, type_of
 from riskflow.plans.ordering import running_sums
-from riskflow.plans.shared import materialize
 
 
 def _long_form(row: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -95,19 +94,25 @@ def quantiles(
 
 
 def quantiles_of(frequencies: DataFrame, shares: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
-    """Quantiles from a table (group, column, value, n)."""
+    """Quantiles from a table (group, column, value, n), one row per share."""
+    wide = spread_of(frequencies, shares, group)
+    entries = [F.struct(F.lit(float(s)).alias("share"), F.col(_share_name(s)).alias("value")) for s in shares]
+    long = wide.select(*group, "column", F.explode(F.array(*entries)).alias("_q"))
+    return long.select(*group, "column", "_q.share", "_q.value")
+
+
+def spread_of(frequencies: DataFrame, shares: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
+    """(group, column, n_distinct, p..): distinct values and one column per quantile."""
     keys = [*group, "column"]
     ranked = running_sums(frequencies, ["value"], {"upto": "n"}, keys, {"_total": "n"}, few_groups=not group)
-    wanted = ranked.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    place = F.col("share") * (F.col("_total") - 1)
-    first = F.col("upto") - F.col("n")
-    last = F.col("upto") - 1
-    touches = (F.floor(place) <= last) & (F.ceil(place) >= first)
-    picked = wanted.where(touches).withColumn("_place", place)
-    low = F.max(F.when(F.floor("_place").between(first, last), F.col("value")))
-    high = F.max(F.when(F.ceil("_place").between(first, last), F.col("value")))
-    weight = F.max(F.col("_place") - F.floor("_place"))
-    return picked.groupBy(*keys, "share").agg((low + (high - low) * weight).alias("value"))
+    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
+    columns = []
+    for s in shares:
+        place = F.lit(float(s)) * (F.col("_total") - 1)
+        low = F.max(F.when(F.floor(place).between(first, last), F.col("value")))
+        high = F.max(F.when(F.ceil(place).between(first, last), F.col("value")))
+        columns.append((low + (high - low) * F.max(place - F.floor(place))).alias(_share_name(s)))
+    return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_distinct"), *columns)
 
 
 NUMERIC_FIELDS = ["n", "n_null", "min", "max", "mean", "std", "skew"]
@@ -142,14 +147,9 @@ def profile_numeric(
         fields += ["n_distinct", *[_share_name(s) for s in shares]]
         return _long_form(df.agg(*aggs), cols, fields)
     moments = _long_form(df.agg(*aggs), cols, fields)
-    stored = materialize(value_frequencies(df, cols), "frequencies")
-    distinct = stored.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
-    spread = quantiles_of(stored, shares)
-    for s in shares:
-        one = spread.where(F.col("share") == F.lit(float(s))).select("column", F.col("value").alias(_share_name(s)))
-        distinct = distinct.join(F.broadcast(one), "column", "left")
+    spread = spread_of(value_frequencies(df, cols), shares)
     # one row per profiled column
-    joined = moments.join(F.broadcast(distinct), "column", "left")
+    joined = moments.join(F.broadcast(spread), "column", "left")
     return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 

@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
@@ -80,6 +80,7 @@ def logistic(
     label: str = "label",
     weight: str | None = None,
     max_iter: int = 100,
+    tol: float = 1e-6,
 ) -> LogisticRegression:
     """Estimator whose penalty equals that of the form ``penalty(w) + C * sum(weight * loss)``.
 
@@ -93,7 +94,7 @@ def logistic(
         regParam=0.0 if penalty == "none" else 1.0 / (C * total_weight),
         standardization=False,
         maxIter=max_iter,
-        tol=1e-8,
+        tol=tol,
     )
     return estimator.setWeightCol(weight) if weight else estimator
 
@@ -113,9 +114,10 @@ def fit_logistic(
     C: float = DEFAULT_C,
     penalty: str = "l1",
     max_iter: int = 100,
+    tol: float = 1e-6,
 ):
     """Fit on a table that has a vector column already."""
-    return logistic(total_weight(df, weight), C, penalty, features, label, weight, max_iter).fit(df)
+    return logistic(total_weight(df, weight), C, penalty, features, label, weight, max_iter, tol).fit(df)
 
 
 def build_pipeline(spec: FeatureSpec, classifier) -> Pipeline:
@@ -147,8 +149,6 @@ def feature_names(model: PipelineModel) -> list[str]:
 def coefficient_table(model: PipelineModel) -> DataFrame:
     """(feature, coefficient) rows of a fitted logistic model, the intercept included."""
     fitted = model.stages[-1]
-    from pyspark.sql import SparkSession
-
     rows = [(n, float(c)) for n, c in zip(feature_names(model), fitted.coefficients.toArray())]
     rows.append(("(intercept)", float(fitted.intercept)))
     return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
