@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.columns import known, quoted, require, type_of
-from riskflow.plans.lookup import TableSize, lookup_join, measure
+from riskflow.plans.lookup import Lookup, TableSize, lookup_many
 from riskflow.plans.ordering import with_positions
 from riskflow.plans.shared import materialize
 
@@ -66,6 +66,23 @@ class LabelDomain:
             raise ValueError(f"{column} has {size} values, more than the {limit} output columns allowed")
         return [r["value"] for r in self.of(column).orderBy("code").collect()]
 
+    def texts(self, columns: Sequence[str], limit: int = MAX_ONE_HOT_VALUES) -> dict[str, list[str]]:
+        """Distinct values of several columns as text, in order, in one job."""
+        large = [f"{c} ({self.sizes[c].rows})" for c in columns if self.sizes[c].rows > limit]
+        if large:
+            raise ValueError(f"more than the {limit} output columns allowed: {', '.join(large)}")
+        text = F.coalesce(
+            *[
+                F.when(F.col("column") == c, F.col(self.families[c]).cast(self.types[c]).cast("string"))
+                for c in columns
+            ]
+        )
+        rows = self.table.where(F.col("column").isin(*columns)).select("column", "code", text.alias("text")).collect()
+        found: dict[str, list[str]] = {c: [] for c in columns}
+        for r in sorted(rows, key=lambda r: r["code"]):
+            found[r["column"]].append(r["text"])
+        return found
+
     def save(self, path: str) -> None:
         """Keep the domain as Parquet; families and types are found again from ``columns``."""
         self.table.write.mode("overwrite").parquet(f"{path}/values")
@@ -145,28 +162,22 @@ def encode(
         raise ValueError(f"unknown must be null, error or code, not {unknown!r}")
     names = list(cols or domain.families)
     require(df, names)
-    result = df
-    for c in names:
-        known_value = _comparable(df, c)
-        result = result.withColumn("_value", known_value)
-        result = lookup_join(
-            result,
-            domain.of(c).withColumnRenamed("code", "_code"),
-            [("_value", "value")],
-            ["_code"],
-            weight="n",
-            size=domain.sizes[c],
-            max_rows=max_broadcast_rows,
-        )
-        code = F.col("_code")
+    lookups = [
+        Lookup(f"_code{i}", _comparable(df, c), domain.of(c), "value", "code", "n", domain.sizes[c])
+        for i, c in enumerate(names)
+    ]
+    found = lookup_many(df, lookups, max_broadcast_rows)
+    results: dict[str, Column] = {}
+    for i, c in enumerate(names):
+        code, value = F.col(f"_code{i}"), _comparable(df, c)
+        outside = value.isNotNull() & code.isNull()
         if unknown == "code":
-            code = F.when(F.col("_value").isNotNull(), F.coalesce(code, F.lit(domain.sizes[c].rows).cast("bigint")))
+            code = F.when(outside, F.lit(domain.sizes[c].rows).cast("bigint")).otherwise(code)
         elif unknown == "error":
-            message = F.concat(F.lit(f"{c} has a value that was not fitted: "), F.col("_value").cast("string"))
-            code = F.when(F.col("_value").isNotNull() & code.isNull(), F.raise_error(message).cast("bigint")).otherwise(code)
-        result = result.withColumn("_result", code).drop("_value", "_code")
-        result = _put(result, c, c + suffix)
-    return result
+            message = F.concat(F.lit(f"{c} has a value that was not fitted: "), value.cast("string"))
+            code = F.when(outside, F.raise_error(message).cast("bigint")).otherwise(code)
+        results[c] = code
+    return _put(df, found, results, suffix)
 
 
 def decode(
@@ -179,28 +190,20 @@ def decode(
     """Replace codes by the values they stand for; a code outside the domain becomes null."""
     names = list(cols or domain.families)
     require(df, names)
-    result = df
-    for c in names:
-        values = domain.of(c).withColumn("_result", F.col("value").cast(domain.types[c])).drop("value")
-        result = lookup_join(
-            result,
-            values,
-            [(c, "code")],
-            ["_result"],
-            weight="n",
-            size=domain.sizes[c],
-            max_rows=max_broadcast_rows,
-        )
-        result = _put(result, c, c + suffix)
-    return result
+    lookups = [
+        Lookup(f"_value{i}", F.col(quoted(c)), domain.of(c), "code", "value", "n", domain.sizes[c])
+        for i, c in enumerate(names)
+    ]
+    found = lookup_many(df, lookups, max_broadcast_rows)
+    results = {c: F.col(f"_value{i}").cast(domain.types[c]) for i, c in enumerate(names)}
+    return _put(df, found, results, suffix)
 
 
-def _put(df: DataFrame, source: str, target: str) -> DataFrame:
-    """Move ``_result`` to the place of a replaced column, or to the end."""
-    if target != source:
-        return df.withColumnRenamed("_result", target)
-    ordered = [F.col("_result").alias(c) if c == source else F.col(quoted(c)) for c in df.columns if c != "_result"]
-    return df.select(*ordered)
+def _put(df: DataFrame, found: DataFrame, results: Mapping[str, Column], suffix: str) -> DataFrame:
+    """The columns of ``df`` with results in the place of their source, or added under a suffix."""
+    if suffix:
+        return found.select(*[quoted(c) for c in df.columns], *[e.alias(c + suffix) for c, e in results.items()])
+    return found.select(*[results[c].alias(c) if c in results else F.col(quoted(c)) for c in df.columns])
 
 
 def one_hot_name(column: str, value: object) -> str:
@@ -254,10 +257,11 @@ def one_hot_columns(
 def frequency_encode(df: DataFrame, cols: Sequence[str], domain: LabelDomain | None = None, suffix: str = "_n") -> DataFrame:
     """Add how many fitted rows share the value; 0 for a value outside the domain."""
     domain = domain or fit_label_encoder(df, cols)
-    result = df
-    for c in cols:
-        counts = domain.of(c).select("value", "n", F.col("n").alias("_count"))
-        result = result.withColumn("_value", _comparable(df, c))
-        result = lookup_join(result, counts, [("_value", "value")], ["_count"], weight="n", size=domain.sizes[c])
-        result = result.withColumn(c + suffix, F.coalesce("_count", F.lit(0))).drop("_value", "_count")
-    return result
+    require(df, cols)
+    lookups = [
+        Lookup(f"_count{i}", _comparable(df, c), domain.of(c).withColumn("rows", F.col("n")), "value", "rows", "n", domain.sizes[c])
+        for i, c in enumerate(cols)
+    ]
+    found = lookup_many(df, lookups)
+    counts = {c: F.coalesce(F.col(f"_count{i}"), F.lit(0)) for i, c in enumerate(cols)}
+    return found.select(*[quoted(c) for c in df.columns], *[e.alias(c + suffix) for c, e in counts.items()])

@@ -125,14 +125,9 @@ class OneHotFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadabl
 
     def _fit(self, dataset: DataFrame) -> OneHotFeaturesModel:
         names = self.getInputCols()
-        domain = fit_label_encoder(dataset, names)
-        slots = []
-        for c in names:
-            domain.values(c)  # checks the number of values
-            text = domain.of(c).orderBy("code").select(F.col("value").cast(domain.types[c]).cast("string").alias("v"))
-            values = [r["v"] for r in text.collect()]
-            shown = values[1:] if self.getOrDefault(self.drop) == "first" else values
-            slots.append({"values": values, "shown": shown})
+        texts = fit_label_encoder(dataset, names).texts(names)
+        first = 1 if self.getOrDefault(self.drop) == "first" else 0
+        slots = [{"values": texts[c], "shown": texts[c][first:]} for c in names]
         model = OneHotFeaturesModel(inputCols=names, outputCol=self.getOutputCol())
         return model._set(state=json.dumps({"slots": slots, "unknown": self.getOrDefault(self.unknown)}))
 

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.columns import quoted
+
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1024
@@ -67,6 +69,40 @@ def broadcast_if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if measure(table).fits() else table
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """One value to add: ``value`` of ``table`` where its ``table_key`` equals ``key``."""
+
+    out: str
+    key: Column
+    table: DataFrame
+    table_key: str
+    value: str
+    weight: str
+    size: TableSize
+
+
+def lookup_many(df: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None) -> DataFrame:
+    """Add several looked-up values, each from a table of its own.
+
+    Keys are computed in one projection. Small tables are broadcast one after the other,
+    with no shuffle between them; the others take the way of ``lookup_join``.
+    """
+    keyed = df.select("*", *[item.key.alias(f"_key{i}") for i, item in enumerate(lookups)])
+    numbered = list(enumerate(lookups))
+    for i, item in numbered:
+        if item.size.fits(max_rows):
+            slim = item.table.select(F.col(item.table_key).alias(f"_match{i}"), F.col(item.value).alias(item.out))
+            keyed = keyed.join(F.broadcast(slim), F.col(f"_key{i}") == F.col(f"_match{i}"), "left")
+    for i, item in numbered:
+        if not item.size.fits(max_rows):
+            named = item.table.withColumnRenamed(item.value, item.out)
+            keyed = lookup_join(
+                keyed, named, [(f"_key{i}", item.table_key)], [item.out], item.weight, item.size, max_rows
+            )
+    return keyed.select(*[quoted(c) for c in df.columns], *[item.out for item in lookups])
+
+
 def lookup_join(
     df: DataFrame,
     table: DataFrame,
