@@ -191,7 +191,12 @@ def _classifier(trial: Mapping[str, object], weight_sum: float, label: str, weig
     family = trial["family"]
     if family == "logistic":
         return logistic(
-            weight_sum, float(trial.get("C", DEFAULT_C)), str(trial.get("penalty", "l1")), label=label, weight=weight
+            weight_sum,
+            float(trial.get("C", DEFAULT_C)),
+            str(trial.get("penalty", "l1")),
+            label=label,
+            weight=weight,
+            max_iter=int(trial.get("max_iter", 100)),
         )
     common = {"featuresCol": "features", "labelCol": label, "seed": seed, "maxDepth": int(trial.get("max_depth", 5))}
     if weight:

@@ -88,7 +88,7 @@ def test_scoring_stays_in_the_jvm(table, plan):
 def test_search_takes_the_highest_f1(table):
     grid = [
         {"family": "logistic", "C": 1e-6, "penalty": "l1"},
-        {"family": "logistic", "C": 1.0, "penalty": "l2"},
+        {"family": "logistic", "C": 1.0, "penalty": "l2", "max_iter": 15},
         {"family": "decision_tree", "max_depth": 2},
         {"family": "nonsense"},
     ]

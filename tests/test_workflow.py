@@ -59,7 +59,7 @@ def test_from_file_to_scores(spark, raw, tmp_path):
     assert {f.dataType.simpleString() for f in features.schema} == {"bigint"}
     assert features.agg(F.max(names.KEY)).first()[0] == 359
 
-    grid = [{"family": "logistic", "C": 1.0, "penalty": "l1"}]
+    grid = [{"family": "logistic", "C": 1.0, "penalty": "l1", "max_iter": 15}]
     run = workflow.train(spark, at["features"], at["model"], at["log"], "incidents", table, grid, stratify=True).first()
     assert run["status"] == "FINISHED" and run["val_f1"] > 0.9
     again = workflow.train(spark, at["features"], at["model"], at["log"], "incidents", table, grid).first()
