@@ -1,7 +1,7 @@
 """Label, one-hot and frequency encoding.
 
-Fitting gives a ``LabelDomain``: a stored table (column, value, n, code) with one row
-per distinct value. All columns are fitted in one scan and one sort, whatever
+Fitting gives a ``LabelDomain``: a table (column, value, n, code) over a stored sort, with
+one row per distinct value. All columns are fitted in one scan and one sort, whatever
 their types: numbers, text and dates sit in value columns of their own, so numbers
 keep their numeric order.
 """
@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from riskflow.functions.columns import known, quoted, require, type_of
 from riskflow.plans.lookup import Lookup, TableSize, lookup_many
 from riskflow.plans.ordering import with_positions
-from riskflow.plans.shared import materialize
 
 MAX_ONE_HOT_VALUES = 1000
 
@@ -139,7 +138,7 @@ def fit_label_encoder(df: DataFrame, cols: Sequence[str] | None = None) -> Label
     present = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in order])
     distinct = long.where(present).groupBy("column", *order).agg(F.count(F.lit(1)).alias("n"))
     coded = with_positions(distinct, order, ["column"], out="code", few_groups=True)
-    table = materialize(coded.select("column", *order, "n", "code"), "domain")
+    table = coded.select("column", *order, "n", "code")
     by_column = {c: family for c, (family, _) in families.items()}
     types = {c: type_of(df, c).simpleString() for c in names}
     return LabelDomain(table, by_column, types, _sizes(table, by_column))

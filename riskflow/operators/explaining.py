@@ -113,15 +113,12 @@ def kernel_shap(
         raise ValueError(f"the background needs 1 to {MAX_BACKGROUND} rows, sample it first")
 
     masks, weights = coalitions(len(names), n_coalitions, seed)
-    everything = np.ones((1, len(names)), dtype=int)
     matrix, slope = solution_matrix(masks, weights) if len(masks) else (np.zeros((0, 0)), np.zeros(0))
-    terms = [
-        {"mask": [int(v) for v in mask], "solve": [float(v) for v in matrix[:, i]], "slope": float(slope[i])}
-        for i, mask in enumerate(masks)
-    ]
+    # the last two terms are all features and none
     none = [0.0] * max(len(names) - 1, 0)
-    terms.append({"mask": [int(v) for v in everything[0]], "solve": none, "slope": 0.0})
-    terms.append({"mask": [0] * len(names), "solve": none, "slope": 0.0})
+    terms = [{"mask": [int(v) for v in mask], "solve": [float(v) for v in matrix[:, i]]} for i, mask in enumerate(masks)]
+    terms.append({"mask": [1] * len(names), "solve": none})
+    terms.append({"mask": [0] * len(names), "solve": none})
 
     spark = examples.sparkSession
     # constants of the plan: their size depends on the parameters, not on the data
@@ -130,29 +127,34 @@ def kernel_shap(
     row_type = "array<struct<" + ",".join(
         f"`{f.name}`:{f.dataType.simpleString()}" for f in background.select(*names).schema
     ) + ">>"
-    term_type = "array<struct<mask:array<int>,solve:array<double>,slope:double>>"
+    mask_type, solve_type = "array<array<int>>", "array<array<double>>"
+    mask_text = json.dumps([t["mask"] for t in terms])
     unfolded = examples.select(
         F.col(quoted(key)).alias("_key"),
         *[F.col(quoted(c)).alias(f"_x{i}") for i, c in enumerate(names)],
-        F.posexplode(F.from_json(F.lit(json.dumps(terms)), term_type)).alias("_term", "_t"),
+        F.posexplode(F.from_json(F.lit(mask_text), mask_type)).alias("_term", "_mask"),
     )
+    # a sample is one partition: spread it before it grows, on the keys it is folded by
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unfolded = unfolded.repartition(tasks, "_key", "_term")
     unfolded = unfolded.withColumn("_b", F.explode(F.from_json(F.lit(packed), row_type)))
     mixed = unfolded.select(
         "_key",
         "_term",
         *[
-            F.when(F.col("_t.mask")[i] == 1, F.col(f"_x{i}")).otherwise(F.col(f"_b.`{c}`")).alias(c)
+            F.when(F.col("_mask")[i] == 1, F.col(f"_x{i}")).otherwise(F.col(f"_b.`{c}`")).alias(c)
             for i, c in enumerate(names)
         ],
     )
     means = score(mixed).groupBy("_key", "_term").agg(F.avg(F.col(prediction).cast("double")).alias("_y"))
 
-    solved = means.withColumn("_t", F.from_json(F.lit(json.dumps(terms)), term_type)[F.col("_term")])
+    solve_text = json.dumps([t["solve"] for t in terms])
+    solved = means.withColumn("_solve", F.from_json(F.lit(solve_text), solve_type)[F.col("_term")])
     full, empty = len(terms) - 2, len(terms) - 1
     sums = solved.groupBy("_key").agg(
         F.max(F.when(F.col("_term") == full, F.col("_y"))).alias("score"),
         F.max(F.when(F.col("_term") == empty, F.col("_y"))).alias("base"),
-        *[F.sum(F.col("_t.solve")[j] * F.col("_y")).alias(f"_a{j}") for j in range(len(names) - 1)],
+        *[F.sum(F.col("_solve")[j] * F.col("_y")).alias(f"_a{j}") for j in range(len(names) - 1)],
     )
     # the base and the slope enter with constant factors
     total = F.col("score") - F.col("base")

@@ -16,7 +16,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from riskflow.functions.columns import quoted, require
 from riskflow.operators.evaluation import evaluate
@@ -29,6 +28,7 @@ from riskflow.operators.stages import (
     OneHotFeatures,
     OneHotFeaturesModel,
 )
+from riskflow.plans.shared import materialize
 
 # fixed values: the regularisation constant and the seed of the reference trial
 DEFAULT_C = 0.17557554126131178
@@ -224,7 +224,7 @@ def search(
     """Fit one model per grid entry and keep the one with the highest F1 on the validation part.
 
     Rows are split by the hash of their key and weighted so that classes count the same
-    in training. The prepared features are kept for all trials. No trial starts after the time
+    in training. The prepared features are stored for all trials. No trial starts after the time
     limit. With ``refit`` the winner is trained again on all rows.
     """
     require(df, [label, key, *spec.columns()])
@@ -234,8 +234,8 @@ def search(
     train_rows = with_class_weight(parts.where(F.col("split") == "train"), label, "weight")
     preparation = Pipeline(stages=preprocess_stages(spec)).fit(train_rows)
     weighted = train_rows.unionByName(parts.where(F.col("split") != "train").withColumn("weight", F.lit(1.0)))
-    prepared = preparation.transform(weighted).select(label, "split", "weight", "features")
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    # stored, not cached: all trials read it, and it outlives the executors
+    prepared = materialize(preparation.transform(weighted).select(label, "split", "weight", "features"), "prepared")
     train = prepared.where(F.col("split") == "train")
     weight_sum = total_weight(train, "weight")
     start = time.monotonic()
@@ -258,12 +258,9 @@ def search(
         scores = {f"{p}_f1": f1.get(p, 0.0) for p in ("train", "val", "test")}
         return {**row, "status": "FINISHED", **scores}, fitted
 
-    try:
-        chosen = list(grid)[:max_trials]
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            outcomes = list(pool.map(run, range(len(chosen)), chosen))
-    finally:
-        prepared.unpersist()
+    chosen = list(grid)[:max_trials]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        outcomes = list(pool.map(run, range(len(chosen)), chosen))
 
     spark = df.sparkSession
     rows = [{f.name: row.get(f.name) for f in TRIAL_SCHEMA} for row, _ in outcomes]

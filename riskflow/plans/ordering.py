@@ -36,8 +36,9 @@ def _attach_offsets(
 ) -> DataFrame:
     """Join each row with values computed from the stretches of its group.
 
-    The summary has at most (tasks of the sort + groups) rows, so it is small when
-    the groups are few; otherwise it is stored and measured first.
+    The summary has at most (tasks of the sort + groups) rows. When the groups are few it
+    is fetched once, as it would be worked out anew by every use of the result; otherwise it
+    is stored and measured.
     """
     spans = stored.groupBy(*group, _STRETCH).agg(*totals)
     named = spans.select(
@@ -46,6 +47,7 @@ def _attach_offsets(
         *[c.alias(name) for name, c in offsets.items()],
     )
     if few_groups or not group:
+        named = stored.sparkSession.createDataFrame(named.collect(), named.schema)
         small = F.broadcast(named)
     else:
         named = materialize(named, "stretches")
