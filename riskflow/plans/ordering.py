@@ -47,7 +47,7 @@ def _attach_offsets(
         *[c.alias(name) for name, c in offsets.items()],
     )
     if few_groups or not group:
-        named = stored.sparkSession.createDataFrame(named.collect(), named.schema)
+        named = stored.sparkSession.createDataFrame(named.toArrow(), named.schema)
         small = F.broadcast(named)
     else:
         named = materialize(named, "stretches")
