@@ -114,9 +114,10 @@ def get_or_train(spark, sf_dir):
 
 @query("stream_score")
 def stream_score(spark, sf_dir):
-    """The order file as a stream, scored once, read back."""
+    """The order table as a stream, scored once, read back."""
     model, _ = _orders_model(spark, sf_dir)
-    rows = read_arriving(spark, sf_dir, ORDER_SCHEMA, pattern="orders.parquet")
+    # a stream wants a folder; as a glob the path may also be a single file
+    rows = read_arriving(spark, f"{sf_dir}/orders.parque[t]", ORDER_SCHEMA)
     sink, checkpoint = new_path(spark, "scored"), new_path(spark, "progress")
     score_stream(model, rows, sink, checkpoint).awaitTermination()
     return spark.read.parquet(sink)
