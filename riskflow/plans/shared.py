@@ -7,27 +7,18 @@ The folder is the one the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-# temporary folders of local sessions, by application
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach; a temporary one only for a local session."""
+    """Folder every executor can reach: the checkpoint folder, else one below the warehouse."""
     folder = spark.conf.get(CHECKPOINT_SETTING, "")
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-        app = spark.sparkContext.applicationId
-        if app not in _local_folders:
-            _local_folders[app] = tempfile.mkdtemp(prefix="riskflow-")
-        folder = _local_folders[app]
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     return folder.rstrip("/")
 
 
