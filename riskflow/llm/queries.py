@@ -7,21 +7,139 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.llm.curriculum import mix_sources
+from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
+from riskflow.llm.host_reputation import judge_urls
 from riskflow.llm.near_dedup import near_duplicates
+from riskflow.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: (host, path, verdict), as the task gives them.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public tokenizer's file; the package is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(*split_deliveries(_table(spark, sf_dir, "documents")))
+
+
+OP6_SQL = r"""
+WITH n AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents
+), g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY text_sha256)
+SELECT n.doc_id, g.keep_id, g.group_size, coalesce(n.doc_id = g.keep_id, false) AS kept, n.text_sha256
+FROM n JOIN g ON n.text_sha256 = g.text_sha256
+"""
+
+
+def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelled page is bad if its label's quality is 0."""
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("outcome"))
+    return judge_urls(_table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), '') AS raw,
+         coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path
+  FROM pages
+), u AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM p
+), l AS (
+  SELECT doc_id, max(1 - quality) AS outcome FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), h AS (
+  SELECT host, count(outcome) AS n, coalesce(sum(outcome), 0) AS bad, split_part(host, '.', -1) AS suffix,
+         CASE WHEN contains(host, '.') THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1) ELSE host END AS domain
+  FROM u LEFT JOIN l ON u.page_id = l.doc_id GROUP BY host
+), w AS (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0)::DOUBLE AS p FROM h),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT p FROM w) AS p FROM h GROUP BY suffix),
+sk AS (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * p, 2) / (p * (1 - p))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5), 0.0001), 0.5) - 1 AS k FROM s),
+sp AS (SELECT suffix, (p * k + bad) / (n + k) AS p FROM s, sk),
+d AS (SELECT h.domain, h.suffix, sum(n) AS n, sum(bad) AS bad, any_value(sp.p) AS p FROM h JOIN sp ON h.suffix = sp.suffix GROUP BY h.suffix, h.domain),
+dk AS (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * p, 2) / (p * (1 - p))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5), 0.0001), 0.5) - 1 AS k FROM d),
+dp AS (SELECT domain, (p * k + bad) / (n + k) AS p FROM d, dk),
+hp AS (SELECT h.host, h.n, h.bad, dp.p FROM h JOIN dp ON h.domain = dp.domain),
+hk AS (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * p, 2) / (p * (1 - p))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5), 0.0001), 0.5) - 1 AS k FROM hp),
+b AS (SELECT host, (p * k + bad) / (n + k) AS m, n + k AS t FROM hp, hk),
+r AS (SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) AS r(rule_host, rule_path, verdict)),
+j AS (
+  SELECT u.*, b.m - 1.645 * sqrt(b.m * (1 - b.m) / (b.t + 1)) AS bound,
+         (SELECT arg_max(r.rule_host || r.rule_path || ' ' || r.verdict, length(r.rule_host || r.rule_path)) FROM r
+          WHERE ('.' || u.host) LIKE ('%.' || r.rule_host) AND starts_with(u.path, r.rule_path)) AS hit
+  FROM u JOIN b ON u.host = b.host
+)
+SELECT page_id, host, path, split_part(hit, ' ', 1) AS rule,
+       coalesce(split_part(hit, ' ', 2), CASE WHEN bound > 0.25 THEN 'block' ELSE 'allow' END) AS verdict
+FROM j
+"""
+
+
+def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS turn,
+         coalesce(length(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank FROM d GROUP BY source
+), w AS (SELECT *, ((rank - 1) % 3 + 1)::BIGINT AS weight, (SELECT sum(size) FROM d)::BIGINT AS total FROM s),
+t AS (
+  SELECT *, (total - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size * 3 / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / (sum(weight) OVER (ORDER BY source_size * 3 / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS level
+  FROM w
+), l AS (SELECT min(level ORDER BY level) AS level FROM (SELECT level FROM t WHERE NOT (3 * source_size < level * weight) ORDER BY level, rank LIMIT 1)),
+g AS (
+  SELECT source, source_size, coalesce(least(source_size * 3.0::DOUBLE, (SELECT level FROM l) * weight), 0.0::DOUBLE) AS target FROM t
+), p AS (
+  SELECT d.*, g.source_size, g.target, floor(g.target + 0.5)::BIGINT AS wanted,
+         (coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY turn, doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+), q AS (SELECT *, CASE WHEN source_size > 0 THEN wanted // source_size ELSE 0 END AS passes FROM p)
+SELECT doc_id, size, source_size, target,
+       (passes * size + greatest(0, least(size, wanted - passes * source_size - first)))::BIGINT AS taken
+FROM q
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op7_url_reputation": op7_url_reputation,
+    "op8_curriculum_mix": op8_curriculum_mix,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_exact_dedup": OP6_SQL,
+    "op7_url_reputation": OP7_SQL,
+    "op8_curriculum_mix": OP8_SQL,
+}
