@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm.curriculum import mix_sources
+from riskflow.llm.decontaminate import find_passages
 from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
 from riskflow.llm.host_reputation import judge_urls
 from riskflow.llm.near_dedup import near_duplicates
@@ -130,12 +131,18 @@ FROM q
 """
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the items and where they begin."""
+    return find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_reputation": op7_url_reputation,
     "op8_curriculum_mix": op8_curriculum_mix,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {
