@@ -11,8 +11,10 @@ from riskflow.llm.curriculum import mix_sources
 from riskflow.llm.decontaminate import find_passages
 from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
 from riskflow.llm.host_reputation import judge_urls
+from riskflow.llm.html_text import main_texts
 from riskflow.llm.near_dedup import near_duplicates
 from riskflow.llm.token_counts import count_tokens
+from riskflow.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,10 +38,18 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -137,7 +147,9 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_reputation": op7_url_reputation,

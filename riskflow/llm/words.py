@@ -90,9 +90,9 @@ def _spans(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = border
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, position of each text's first word and the total)."""
-    hashes, starts = [], []
+def word_places(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, byte after the last) of all words in order."""
+    hashes, firsts, stops = [], [], []
     for lo, hi in _spans(raw, offsets):
         part = raw[lo:hi]
         word = ~_SPACE[part]
@@ -110,11 +110,17 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         np.cumsum(_LETTER[part] * power[: hi - lo], out=sums[1:])
         values = (sums[stop] - sums[begin]) * inverse[begin]
         hashes.append(mix(values + (stop - begin).astype(np.uint64)))
-        starts.append(begin + lo)
+        firsts.append(begin + lo)
+        stops.append(stop + lo)
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    where = np.concatenate(starts)
-    return np.concatenate(hashes), np.searchsorted(where, offsets).astype(np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(stops)
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, position of each text's first word and the total)."""
+    hashes, firsts, _ = word_places(raw, offsets)
+    return hashes, np.searchsorted(firsts, offsets).astype(np.int64)
 
 
 def column_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
