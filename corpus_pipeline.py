@@ -1,27 +1,73 @@
-"""A corpus pipeline of five stages; each stage's rows are written and read by the next."""
+"""A corpus pipeline of five stages; each stage's rows are written and read by the next.
+
+Every stage works on all rows its predecessor kept. The first four return the columns of
+``documents`` and drop rows; the last returns one row for each time a document is read,
+in training order, with the columns of ``documents`` and ``pass``, ``words``, ``position``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskflow.llm.curriculum import mix_sources, readings
+from riskflow.llm.decontaminate import find_passages
+from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
 from riskflow.llm.near_dedup import near_duplicates
+from riskflow.llm.toxicity import score_toxicity
 from riskflow.plans.shared import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose doc_id is not in ``gone``; rows without one stay."""
+    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for toxic go."""
+    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, materialize(scored.where("predicted = 1").select("doc_id"), "toxic"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest doc_id stays."""
+    groups = exact_duplicates(*split_deliveries(docs))
+    return _without(docs, materialize(groups.where("not kept").select("doc_id"), "copies"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five words, similarity 0.8."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    groups = near_duplicates(docs)
+    return _without(docs, materialize(groups.where("not kept").select("doc_id"), "near_copies"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = find_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, materialize(found.select("doc_id"), "leaks"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix's readings in training order."""
+    read = materialize(readings(mix_sources(docs)), "readings")
+    return docs.join(read, "doc_id").repartitionByRange("position", "doc_id", "pass").sortWithinPartitions(
+        F.col("position"), F.col("doc_id"), F.col("pass")
+    )
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
 ]
 
+#: Stages one, three and four have no SQL; tests hold each against a brute-force version.
 ORACLE_SQL: str | None = None
 
 

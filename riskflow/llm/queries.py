@@ -13,6 +13,7 @@ from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
 from riskflow.llm.host_reputation import judge_urls
 from riskflow.llm.html_text import main_texts
 from riskflow.llm.near_dedup import near_duplicates
+from riskflow.llm.ngram_trie import score_texts
 from riskflow.llm.token_counts import count_tokens
 from riskflow.llm.toxicity import score_toxicity
 
@@ -127,7 +128,7 @@ t AS (
   SELECT *, (total - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size * 3 / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / (sum(weight) OVER (ORDER BY source_size * 3 / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS level
   FROM w
-), l AS (SELECT min(level ORDER BY level) AS level FROM (SELECT level FROM t WHERE NOT (3 * source_size < level * weight) ORDER BY level, rank LIMIT 1)),
+), l AS (SELECT level FROM t WHERE NOT (3 * source_size < level * weight) ORDER BY source_size * 3 / weight, rank LIMIT 1),
 g AS (
   SELECT source, source_size, coalesce(least(source_size * 3.0::DOUBLE, (SELECT level FROM l) * weight), 0.0::DOUBLE) AS target FROM t
 ), p AS (
@@ -146,6 +147,14 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents whose crc32(doc_id) mod 7 is not 2, scores all."""
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
+    scored = score_texts(documents, documents.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
@@ -155,6 +164,7 @@ QUERIES: dict[str, Query] = {
     "op7_url_reputation": op7_url_reputation,
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 SQL: dict[str, str] = {
