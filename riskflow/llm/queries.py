@@ -14,6 +14,7 @@ from riskflow.llm.host_reputation import judge_urls
 from riskflow.llm.html_text import main_texts
 from riskflow.llm.near_dedup import near_duplicates
 from riskflow.llm.ngram_trie import score_texts
+from riskflow.llm.quality import judge_quality
 from riskflow.llm.token_counts import count_tokens
 from riskflow.llm.toxicity import score_toxicity
 
@@ -43,6 +44,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good are the trusted text."""
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return judge_quality(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
 
@@ -157,6 +164,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_html_extraction": op4_html_extraction,
     "op5_token_counts": op5_token_counts,
