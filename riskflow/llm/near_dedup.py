@@ -6,12 +6,17 @@ signature; its bands are bucket keys. Inside a bucket pairs of classes are compa
 first by their signatures, then by their full sets, until every pair of the bucket that
 is not already connected has been compared:
 
-1. each class with the smallest class of its buckets,
-2. in buckets that still hold several components, each class with the largest class,
-3. in buckets that still do, every class outside the largest component with all others.
-
-A group of copies so costs one comparison a member, and no link is lost to a cap. With
-36 bands of 5 rows, a pair at similarity 0.8 misses all bands with probability 6e-7.
+1. each class with the smallest class of its buckets, which settles most groups of
+   copies at one comparison a member,
+2. in buckets of up to SMALL classes that still hold several components, the classes
+   outside the largest component with all others, pair by pair,
+3. in larger ones the same, but no pair becomes a row: classes that share such buckets
+   are a cluster, cut into chunks of CHUNK_BYTES of sets; each two chunks meet in one
+   task, which counts common shingles and returns only links that join components.
+
+So a group of copies costs one comparison a member, a dense group of texts just below
+the threshold is spread over many bounded tasks, and no link is lost to a cap. With 36
+bands of 5 rows, a pair at similarity 0.8 misses all bands with probability 6e-7.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +38,9 @@ BANDS = 36
 ROWS = 5
 #: How far below the threshold a signature's estimate may lie, in standard deviations.
 SLACK = 5.0
+#: Classes of a bucket whose open pairs become rows, and bytes of sets in a chunk of a cluster.
+SMALL = 16
+CHUNK_BYTES = 8 << 20
 
 _FACTORS = mix(np.arange(1, 4097, dtype=np.uint64)).astype(np.uint32)
 
@@ -50,7 +59,8 @@ def _shingles(hashes: np.ndarray, begin: int, end: int, k: int) -> np.ndarray:
     value = np.full(len(words) - size + 1, size, dtype=np.uint64)
     for i in range(size):
         value = mix(value + words[i : len(words) - size + 1 + i])
-    return np.unique(value)
+    value.sort()
+    return value[np.append(True, value[1:] != value[:-1])]
 
 
 def _signature(shingles: np.ndarray, minima: int) -> np.ndarray:
@@ -78,10 +88,6 @@ def _set_print(shingles: np.ndarray) -> bytes:
     return one.to_bytes(8, "little") + two.to_bytes(8, "little")
 
 
-def _batches(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(columns, schema=schema)
-
-
 def _document_prints(k: int, bands: int, rows: int):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bands", pa.binary())]
@@ -107,7 +113,7 @@ def _document_prints(k: int, bands: int, rows: int):
 
 
 def _document_sets(k: int, minima: int):
-    """(print, signature, set) of each text; the sets of whole texts as sorted 64-bit hashes."""
+    """(print, lowest bytes of the minima, set) of each text; whole sets, as sorted 64-bit hashes."""
     schema = pa.schema([("print", pa.binary()), ("signature", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,9 +123,9 @@ def _document_sets(k: int, minima: int):
             for i in range(batch.num_rows):
                 shingles = _shingles(hashes, starts[i], starts[i + 1], k)
                 out["print"].append(_set_print(shingles))
-                out["signature"].append(_signature(shingles, minima).tobytes())
+                out["signature"].append(_signature(shingles, minima).astype(np.uint8).tobytes())
                 out["members"].append(shingles.tobytes())
-            yield _batches(out, schema)
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
 
@@ -136,31 +142,74 @@ def _expand_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _similar(threshold: float, minima: int, slack: float):
-    """Pairs whose signatures agree enough and whose sets reach the threshold."""
-    percent = round(threshold * 100)
+def _alike(threshold: float, minima: int, slack: float):
+    """Pairs whose signatures agree enough for the threshold to be possible."""
     least = threshold - slack * (threshold * (1 - threshold) / minima) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pydict()
+            one = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(-1, minima)
+            two = np.frombuffer(b"".join(batch.column("signature_b").to_pylist()), np.uint8).reshape(-1, minima)
+            keep = pa.array(np.flatnonzero((one == two).mean(axis=1) >= least))
+            yield batch.select(["class_a", "print", "class_b", "print_b"]).take(keep)
+
+    return run
+
+
+def _similar(percent: int):
+    """Pairs whose sets reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             keep = []
             for i in range(batch.num_rows):
-                one = np.frombuffer(rows["signature"][i], np.uint32)
-                two = np.frombuffer(rows["signature_b"][i], np.uint32)
-                if (one == two).mean() < least:
-                    continue
-                a = np.frombuffer(rows["members"][i], np.uint64)
-                b = np.frombuffer(rows["members_b"][i], np.uint64)
+                a = np.frombuffer(batch.column("members")[i].as_py(), np.uint64)
+                b = np.frombuffer(batch.column("members_b")[i].as_py(), np.uint64)
                 both = np.concatenate([a, b])
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
                 if 100 * shared >= percent * (len(both) - shared):
                     keep.append(i)
-            take = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class_a").take(take), batch.column("class_b").take(take)], names=["class_a", "class_b"]
-            )
+            yield batch.select(["class_a", "class_b"]).take(pa.array(keep, pa.int64()))
+
+    return run
+
+
+def _chunk_links(percent: int):
+    """Links between the classes of two chunks of a cluster, one for each class and component."""
+
+    def links(x: list[np.ndarray], y: list[np.ndarray], rows: np.ndarray, x_comp, y_comp) -> Iterator[tuple[int, int]]:
+        sizes = np.array([len(s) for s in y])
+        tokens = np.concatenate(y)
+        owners = np.repeat(np.arange(len(y)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owners = tokens[order], owners[order]
+        for i in rows.tolist():
+            low, high = np.searchsorted(tokens, x[i]), np.searchsorted(tokens, x[i], side="right")
+            many = high - low
+            spot = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            shared = np.bincount(owners[spot], minlength=len(y))
+            near = (100 * shared >= percent * (len(x[i]) + sizes - shared)) & (y_comp != x_comp[i])
+            found = np.flatnonzero(near)
+            for j in found[np.unique(y_comp[found], return_index=True)[1]].tolist():
+                yield i, j
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        left = rows[rows["chunk"] == rows["low"]].reset_index(drop=True)
+        right = rows[rows["chunk"] == rows["high"]].reset_index(drop=True)
+        out: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            a = [np.frombuffer(m, np.uint64) for m in left["members"]]
+            b = [np.frombuffer(m, np.uint64) for m in right["members"]]
+            a_comp, b_comp = left["component"].to_numpy(np.int64), right["component"].to_numpy(np.int64)
+            a_id, b_id = left["class_id"].to_numpy(np.int64), right["class_id"].to_numpy(np.int64)
+            main = int(rows["main"].iloc[0])
+            for i, j in links(a, b, np.flatnonzero(a_comp != main), a_comp, b_comp):
+                out.append((int(a_id[i]), int(b_id[j])))
+            if rows["low"].iloc[0] != rows["high"].iloc[0]:
+                for j, i in links(b, a, np.flatnonzero(b_comp != main), b_comp, a_comp):
+                    out.append((int(b_id[j]), int(a_id[i])))
+        return pd.DataFrame(out, columns=["class_a", "class_b"], dtype="int64")
 
     return run
 
@@ -201,8 +250,8 @@ def near_duplicates(
         .mapInArrow(_expand_bands, "key bigint, class_id bigint, print binary"),
         "bands",
     )
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = materialize(keys.join(buckets, "key"), "members")
+    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("class_id", "print")).alias("other"))
+    members = materialize(keys.join(buckets.where("n > 1"), "key"), "members")
     wanted = members.select("print").distinct()
     sets = materialize(
         documents.select(F.col("doc_id").cast("bigint"), "text")
@@ -213,28 +262,16 @@ def near_duplicates(
         .join(wanted, "print", "left_semi"),
         "sets",
     )
-    similar = _similar(threshold, bands * rows, SLACK)
-    sizes = classes.join(wanted, "print", "left_semi").select("print", "class_id")
-    links = None
-    tried = None
-    component = sizes.select(F.col("class_id").alias("node"), F.col("class_id").alias("component")).distinct()
-    for step in ("smallest", "largest", "rest"):
-        pairs = _pairs(members, component, step)
-        if tried is not None:
-            pairs = pairs.join(tried, ["print", "print_b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        found = materialize(
-            pairs.join(sets, "print")
-            .join(sets.toDF("print_b", "signature_b", "members_b"), "print_b")
-            .select("class_a", "class_b", "signature", "members", "signature_b", "members_b")
-            .mapInArrow(similar, "class_a bigint, class_b bigint"),
-            "similar",
-        )
-        links = found if links is None else links.unionByName(found)
-        tried = _both_ways(pairs, tried)
-        component = materialize(components(links, "class_a", "class_b"), "components")
+    percent = round(threshold * 100)
+    compare = _comparison(sets, percent, _alike(threshold, bands * rows, SLACK))
+    first = compare(_named(members.where("class_id <> other.class_id")))
+    component = materialize(components(first, "class_a", "class_b"), "components")
+    placed = materialize(_open_buckets(members, component), "open")
+    links = first.unionByName(compare(_small_bucket_pairs(placed.where(F.col("n") <= SMALL))))
+    large = placed.where(F.col("n") > SMALL).select("key", "class_id", "print", "component")
+    if not large.isEmpty():
+        links = links.unionByName(materialize(_cluster_links(large, sets, percent), "similar"))
+    component = components(links, "class_a", "class_b")
     named = classes.join(component, F.col("class_id") == F.col("node"), "left").select(
         "print", "n_rows", F.coalesce("component", "class_id").alias("component_id")
     )
@@ -247,40 +284,72 @@ def near_duplicates(
     )
 
 
-def _both_ways(pairs: DataFrame, before: DataFrame | None) -> DataFrame:
-    now = pairs.select("print", "print_b")
-    now = now.unionByName(now.select(F.col("print_b").alias("print"), F.col("print").alias("print_b")))
-    return now if before is None else before.unionByName(now)
+def _comparison(sets: DataFrame, percent: int, alike):
+    """A function from pairs to those of them that are similar, each side's data joined by its print."""
+    signatures = sets.select("print", "signature")
+    whole = sets.select("print", "members")
 
-
-def _pairs(members: DataFrame, component: DataFrame, step: str) -> DataFrame:
-    """Distinct pairs of classes to compare: class_a, print, class_b, print_b."""
-    if step == "smallest":
-        whole = members.groupBy("key").agg(F.min(F.struct("class_id", "print")).alias("other"))
-        placed = members
-    else:
-        placed = members.join(component, F.col("class_id") == F.col("node"), "left").select(
-            "key", "class_id", "print", F.coalesce("component", "class_id").alias("component")
+    def compare(pairs: DataFrame) -> DataFrame:
+        possible = materialize(
+            pairs.join(signatures, "print")
+            .join(signatures.toDF("print_b", "signature_b"), "print_b")
+            .mapInArrow(alike, "class_a bigint, print binary, class_b bigint, print_b binary"),
+            "pairs",
         )
-        several = (
-            placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        found = (
+            possible.join(whole, "print")
+            .join(whole.toDF("print_b", "members_b"), "print_b")
+            .mapInArrow(_similar(percent), "class_a bigint, class_b bigint")
         )
-        placed = placed.join(several.select("key"), "key", "left_semi")
-        if step == "largest":
-            whole = placed.groupBy("key").agg(F.max(F.struct("class_id", "print", "component")).alias("other"))
-        else:
-            sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-            main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"))
-            minor = placed.join(main, "key").where("component <> main.component")
-            others = placed.select("key", F.struct("class_id", "print", "component").alias("other"))
-            pairs = minor.select("key", "class_id", "print", "component").join(others, "key")
-            return _named(pairs.where("component <> other.component"))
-    pairs = placed.join(whole, "key").where("class_id <> other.class_id")
-    if step == "largest":
-        pairs = pairs.where("component <> other.component")
+        return materialize(found, "similar")
+
+    return compare
+
+
+def _open_buckets(members: DataFrame, component: DataFrame) -> DataFrame:
+    """Members of buckets with several components, with their component and the bucket's largest."""
+    placed = members.drop("other").join(component, F.col("class_id") == F.col("node"), "left").select(
+        "key", "n", "class_id", "print", F.coalesce("component", "class_id").alias("component")
+    )
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("rows"))
+    open_keys = sizes.groupBy("key").agg(
+        F.count("*").alias("several"), F.max(F.struct("rows", "component")).getField("component").alias("main")
+    )
+    return placed.join(open_keys.where("several > 1").drop("several"), "key")
+
+
+def _small_bucket_pairs(placed: DataFrame) -> DataFrame:
+    """Pairs of classes of different components, at least one of them outside the bucket's largest."""
+    others = placed.select("key", F.struct("class_id", "print", "component").alias("other"))
+    pairs = placed.where("component <> main").join(others, "key").where("component <> other.component")
     return _named(pairs)
 
 
+def _cluster_links(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside the clusters that large buckets make, found chunk against chunk."""
+    heads = large.groupBy("key").agg(F.min("class_id").alias("head"))
+    cluster = components(large.join(heads, "key"), "class_id", "head")
+    classes = large.select("class_id", "print", "component").distinct()
+    grouped = materialize(
+        classes.join(cluster.toDF("class_id", "cluster"), "class_id").join(sets.select("print", "members"), "print"),
+        "clusters",
+    )
+    by_component = grouped.groupBy("cluster", "component").agg(
+        F.count("*").alias("rows"), F.sum(F.length("members")).alias("bytes")
+    )
+    sizes = by_component.groupBy("cluster").agg(
+        F.max(F.struct("rows", "component")).getField("component").alias("main"),
+        (F.floor(F.sum("bytes") / CHUNK_BYTES) + 1).alias("chunks"),
+    )
+    chunked = grouped.join(sizes, "cluster").withColumn("chunk", F.pmod(F.xxhash64("class_id"), F.col("chunks")))
+    met = chunked.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = met.select(
+        "cluster", "main", "class_id", "component", "members", "chunk",
+        F.least("chunk", "partner").alias("low"), F.greatest("chunk", "partner").alias("high"),
+    )
+    return met.groupBy("cluster", "low", "high").applyInPandas(_chunk_links(percent), "class_a bigint, class_b bigint")
+
+
 def _named(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         F.col("class_id").alias("class_a"),
