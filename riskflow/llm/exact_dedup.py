@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.grouping import join_groups
+from riskflow.llm.grouping import join_groups, nullable
 from riskflow.llm.words import mix
 from riskflow.plans.shared import materialize
 
@@ -138,9 +138,7 @@ def _look_up(fresh: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
             ids, counts, names = ids[rest], counts[rest], [names[i] for i in rest]
         ids, counts = np.concatenate([winners, ids]), np.concatenate([sizes, counts])
         names = [stored[i].tobytes() for i in range(len(stored))] + names
-    keep = pd.array(ids, dtype="Int64")
-    keep[ids == NO_ID] = pd.NA
-    return pd.DataFrame({"digest": names, "keep_id": keep, "group_size": counts})
+    return pd.DataFrame({"digest": names, "keep_id": nullable(ids, ids == NO_ID), "group_size": counts})
 
 
 def digests(documents: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,12 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     cold = marked.where("_hot is null").select(*rows.columns)
     rest = groups.where(F.col(size) * HOT_SHARE < F.lit(total))
     return marked.where("_hot").select(*columns).unionByName(cold.join(rest, key).select(*columns))
+
+
+def nullable(values: np.ndarray, null: np.ndarray) -> pd.Series:
+    """Integers for a pandas result, with nulls where ``null`` is true."""
+    if not null.any():
+        return pd.Series(values)
+    column = values.astype(object)
+    column[null] = None
+    return pd.Series(column)

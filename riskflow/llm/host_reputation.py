@@ -3,8 +3,9 @@
 Labelled pages are counted by host. Bad shares are shrunk from the whole to the suffix,
 from there to the registered domain and to the host: each level's posterior mean is the
 next level's beta prior, whose strength comes from the spread of that level's counts
-(moments of the beta-binomial). A host is blocked if the lower bound of its posterior
-lies above the limit, so that few labels alone never block.
+(moments of the beta-binomial). What is unsure about a prior mean stays unsure in the
+posterior, by the share the prior has in it. A host is blocked if the lower bound of its
+posterior lies above the limit, so that few labels alone never block.
 
 DataFrame functions only. Counts are aggregated before they are joined; a hot host's
 pages meet its verdict through join_groups.
@@ -52,8 +53,12 @@ def _strength(groups: DataFrame, prior: str) -> float:
     return 1 / min(max(rho, RHO[0]), RHO[1]) - 1
 
 
-def _posterior_mean(prior: str, strength: float) -> Column:
-    return (F.col(prior) * strength + F.col("bad")) / (F.col("n") + strength)
+def _posterior(strength: float) -> tuple[Column, Column]:
+    """(mean, variance) of a group with bad of n labels and a prior's mean and variance."""
+    total = F.col("n") + strength
+    mean = (F.col("prior") * strength + F.col("bad")) / total
+    weight = F.lit(strength) / total
+    return mean, mean * (1 - mean) / (total + 1) + weight * weight * F.col("prior_var")
 
 
 def host_bounds(pages: DataFrame) -> DataFrame:
@@ -70,18 +75,15 @@ def host_bounds(pages: DataFrame) -> DataFrame:
     all_pages = hosts.agg(*sums).first()
     # half a page each way keeps the mean inside 0 and 1
     whole = ((all_pages["bad"] or 0) + 0.5) / ((all_pages["n"] or 0) + 1.0)
-    suffixes = hosts.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(whole))
-    suffixes = suffixes.select("suffix", _posterior_mean("prior", _strength(suffixes, "prior")).alias("prior"))
+    suffixes = hosts.groupBy("suffix").agg(*sums).withColumns({"prior": F.lit(whole), "prior_var": F.lit(0.0)})
+    mean, variance = _posterior(_strength(suffixes, "prior"))
+    suffixes = suffixes.select("suffix", mean.alias("prior"), variance.alias("prior_var"))
     domains = materialize(hosts.groupBy("suffix", "domain").agg(*sums).join(suffixes, "suffix"), "domains")
-    domains = domains.select("domain", _posterior_mean("prior", _strength(domains, "prior")).alias("prior"))
+    mean, variance = _posterior(_strength(domains, "prior"))
+    domains = domains.select("domain", mean.alias("prior"), variance.alias("prior_var"))
     placed = materialize(hosts.join(domains, "domain"), "hosts")
-    k = _strength(placed, "prior")
-    a = F.col("prior") * k + F.col("bad")
-    total = F.col("n") + k
-    mean = a / total
-    return placed.select(
-        "host", "n_pages", "n", "bad", mean.alias("mean"), (mean - Z * F.sqrt(mean * (1 - mean) / (total + 1))).alias("bound")
-    )
+    mean, variance = _posterior(_strength(placed, "prior"))
+    return placed.select("host", "n_pages", "n", "bad", mean.alias("mean"), (mean - Z * F.sqrt(variance)).alias("bound"))
 
 
 def _rules_of(hosts: DataFrame, rules: list[Rule]) -> DataFrame:

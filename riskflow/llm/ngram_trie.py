@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.grouping import nullable
 from riskflow.llm.words import column_words, mix
 from riskflow.plans.shared import materialize
 
@@ -172,6 +173,8 @@ def _emit(sharding: Sharding | None, with_texts: bool, shards: int):
         context = TaskContext.get()
         task = f"{context.partitionId()}" if context else "0"
         for number, batch in enumerate(batches):
+            if not batch.num_rows:
+                continue
             token, before, owner, sizes = _tokens(batch.column(1))
             rows = []
             if sharding is None:
@@ -323,6 +326,8 @@ def _answer(sharding: Sharding, weights: Weights):
     """A shard's part of each document's sums, batch by batch."""
 
     def run(texts: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
+        if not len(texts):
+            return pd.DataFrame()
         trie = Trie(tries["trie"].iloc[0] if len(tries) else None)
         out: dict[str, list] = {"batch": [], "part": []}
         for name, raw in zip(texts["batch"], texts["blob"]):
@@ -367,9 +372,7 @@ def _add_up(weights: Weights, documents: int):
             score[: len(a)] += a
             base[: len(b)] += b
             known[: len(c)] += c
-        doc = pd.array(ids, dtype="Int64")
-        doc[null] = pd.NA
-        return pd.DataFrame({"doc_id": doc, "n_tokens": sizes, "n_known": known, "base_score": base, "score": score})
+        return pd.DataFrame({"doc_id": nullable(ids, null), "n_tokens": sizes, "n_known": known, "base_score": base, "score": score})
 
     return run
 

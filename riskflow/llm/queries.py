@@ -98,16 +98,16 @@ WITH p AS (
 ), w AS (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0)::DOUBLE AS p FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT p FROM w) AS p FROM h GROUP BY suffix),
 sk AS (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * p, 2) / (p * (1 - p))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5), 0.0001), 0.5) - 1 AS k FROM s),
-sp AS (SELECT suffix, (p * k + bad) / (n + k) AS p FROM s, sk),
-d AS (SELECT h.domain, h.suffix, sum(n) AS n, sum(bad) AS bad, any_value(sp.p) AS p FROM h JOIN sp ON h.suffix = sp.suffix GROUP BY h.suffix, h.domain),
+sp AS (SELECT suffix, m AS p, m * (1 - m) / (t + 1) AS v FROM (SELECT suffix, (p * k + bad) / (n + k) AS m, n + k AS t FROM s, sk)),
+d AS (SELECT h.domain, h.suffix, sum(n) AS n, sum(bad) AS bad, any_value(sp.p) AS p, any_value(sp.v) AS v FROM h JOIN sp ON h.suffix = sp.suffix GROUP BY h.suffix, h.domain),
 dk AS (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * p, 2) / (p * (1 - p))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5), 0.0001), 0.5) - 1 AS k FROM d),
-dp AS (SELECT domain, (p * k + bad) / (n + k) AS p FROM d, dk),
-hp AS (SELECT h.host, h.n, h.bad, dp.p FROM h JOIN dp ON h.domain = dp.domain),
+dp AS (SELECT domain, m AS p, m * (1 - m) / (t + 1) + (k / t) * (k / t) * v AS v FROM (SELECT domain, (p * k + bad) / (n + k) AS m, n + k AS t, k, v FROM d, dk)),
+hp AS (SELECT h.host, h.n, h.bad, dp.p, dp.v FROM h JOIN dp ON h.domain = dp.domain),
 hk AS (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * p, 2) / (p * (1 - p))) - sum(n)) / nullif(sum(n * (n - 1)), 0), 0.5), 0.0001), 0.5) - 1 AS k FROM hp),
-b AS (SELECT host, (p * k + bad) / (n + k) AS m, n + k AS t FROM hp, hk),
+b AS (SELECT host, m - 1.645 * sqrt(m * (1 - m) / (t + 1) + (k / t) * (k / t) * v) AS bound FROM (SELECT host, (p * k + bad) / (n + k) AS m, n + k AS t, k, v FROM hp, hk)),
 r AS (SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) AS r(rule_host, rule_path, verdict)),
 j AS (
-  SELECT u.*, b.m - 1.645 * sqrt(b.m * (1 - b.m) / (b.t + 1)) AS bound,
+  SELECT u.*, b.bound,
          (SELECT arg_max(r.rule_host || r.rule_path || ' ' || r.verdict, length(r.rule_host || r.rule_path)) FROM r
           WHERE ('.' || u.host) LIKE ('%.' || r.rule_host) AND starts_with(u.path, r.rule_path)) AS hit
   FROM u JOIN b ON u.host = b.host
