@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from riskflow.llm.words import string_buffers, word_places
 
 #: Bounds of the training sample: labelled texts of each kind, bytes of one.
-TOXIC_TEXTS = 4000
-CLEAN_TEXTS = 8000
+TOXIC_TEXTS = 3000
+CLEAN_TEXTS = 6000
 TEXT_BYTES = 1 << 16
+#: Words and texts handled together while fitting.
+BLOCK = 4096
 #: Words the machine learns from, of each kind, and landmarks.
 TRAIN_WORDS = 4000
 LANDMARKS = 128
@@ -62,6 +64,7 @@ def _classes() -> np.ndarray:
 _KIND = _classes()
 _SIGN = _KIND == 37
 _BEGIN, _END = 62, 63
+_TRIM = ".,;:!?\"'()[]{}|*#$%&-_/<>~=+"
 
 
 def word_codes(raw: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,11 +207,10 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = np.zeros(x.shape[1])
-    weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + 0.1 * w
-        hessian = (x.T * (weight * p * (1 - p))) @ x + 0.1 * np.eye(len(w))
+        gradient = x.T @ (p - y) + 0.1 * w
+        hessian = (x.T * (p * (1 - p))) @ x + 0.1 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-7:
@@ -216,28 +218,35 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def blamed_words(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
-    """Words, and word beginnings marked by a final ``*``, that explain the toxic texts, best first."""
-
-    def keys(words: set[str]) -> set[str]:
-        return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
-
-    toxic_keys = [keys(words) for words in toxic]
-    bad = Counter(k for words in toxic_keys for k in words)
+def _keys(words: set[str]) -> set[str]:
+    """Words, and word beginnings marked by a final ``*``."""
+    return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
+
+
+def blamed_words(toxic: list[str], clean: list[str]) -> list[str]:
+    """Words and word beginnings that explain the toxic texts, best first. One text's words are held at a time."""
+    number: dict[str, int] = {}
+    names: list[str] = []
+    holders: list[list[int]] = []
+    for i, text in enumerate(toxic):
+        for k in _keys(text_words(text)):
+            at = number.setdefault(k, len(names))
+            if at == len(names):
+                names.append(k)
+                holders.append([])
+            holders[at].append(i)
+    for at, texts in enumerate(holders):  # what one text has explains no other
+        if len(texts) == 1:
+            number.pop(names[at])
     good: Counter[str] = Counter()
-    for words in clean:
-        good.update(k for k in keys(words) if k in bad)
+    for text in clean:
+        good.update(k for k in _keys(text_words(text)) if k in number)
     share = max(len(toxic), 1) / max(len(clean), 1)
-    # a key counts as many texts as it has in toxic ones beyond what clean ones let expect
-    usable = {k: a for k, a in bad.items() if a > 1 and a >= 20 * share * good[k]}
-    holders: dict[str, set[int]] = {k: set() for k in usable}
-    for i, words in enumerate(toxic_keys):
-        for k in words:
-            if k in holders:
-                holders[k].add(i)
+    # a key counts if it has far more toxic texts than clean ones let expect
+    usable = {k: len(holders[at]) for k, at in number.items() if len(holders[at]) >= 20 * share * good[k]}
     chosen: list[str] = []
     value = np.ones(len(toxic))
-    members = {k: np.fromiter(v, np.int64, len(v)) for k, v in holders.items()}
+    members = {k: np.array(holders[number[k]]) for k in usable}
     # values only fall, so the first key of the queue whose gain is still true is the best
     queue = [(-float(usable[k]), k.endswith("*"), k) for k in usable]
     heapq.heapify(queue)
@@ -255,11 +264,16 @@ def blamed_words(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     return chosen
 
 
-def distinct_texts(sets: list[set[str]]) -> list[int]:
+def text_words(text: str) -> set[str]:
+    return {w.strip(_TRIM) for w in text.lower().split()} - {""}
+
+
+def distinct_texts(texts: list[str]) -> list[int]:
     """One of each group of near copies: those that share no pair of word minima with an earlier text."""
     seen: set[tuple[int, int, int]] = set()
     kept = []
-    for i, words in enumerate(sets):
+    for i, text in enumerate(texts):
+        words = text_words(text)
         if len(words) >= 8:
             values = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
             least = [int((values * np.uint64(2 * k + 1) * np.uint64(2654435761) % np.uint64(4294967291)).min()) for k in range(1, 17)]
@@ -294,16 +308,18 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     if not toxic.any() or toxic.all():
         share = float(np.clip(toxic.mean(), 0.01, 0.99)) if len(toxic) else 0.01
         return Model(empty, 0.0, np.array([np.log(share / (1 - share)), 0, 0, 0]))
-    trim = ".,;:!?\"'()[]{}|*#$%&-_/<>~=+"
-    sets = [{w.strip(trim) for w in t.lower().split()} - {""} for t in texts]
-    kept = distinct_texts(sets)
-    bad_sets, good_sets = [sets[i] for i in kept if toxic[i]], [sets[i] for i in kept if not toxic[i]]
-    chosen = blamed_words(bad_sets, good_sets)
+    kept = distinct_texts(texts)
+    bad_texts, good_texts = [texts[i] for i in kept if toxic[i]], [texts[i] for i in kept if not toxic[i]]
+    chosen = blamed_words(bad_texts, good_texts)
     whole = {k for k in chosen if not k.endswith("*")}
     stems = tuple(k[:-1] for k in chosen if k.endswith("*"))
-    counts = Counter(w for words in bad_sets for w in words if w in whole or (stems and w.startswith(stems)))
-    good = Counter(w for words in good_sets for w in words)
-    positives = [w for w, _ in counts.most_common(TRAIN_WORDS) if not good[w]] or [w for w, _ in counts.most_common(10)]
+    counts: Counter[str] = Counter()
+    for text in bad_texts:
+        counts.update(w for w in text_words(text) if w in whole or (stems and w.startswith(stems)))
+    good: set[str] = set()
+    for text in good_texts:
+        good |= text_words(text)
+    positives = [w for w, _ in counts.most_common(TRAIN_WORDS) if w not in good] or [w for w, _ in counts.most_common(10)]
     if not positives:
         share = float(toxic.mean())
         return Model(empty, 0.0, np.array([np.log(share / (1 - share)), 0, 0, 0]))
@@ -340,13 +356,15 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
         table = np.bincount(mark_number, share, 1 << 18).astype(np.float32)
         bias = float(w[-1])
         # clean words the machine takes for toxic join the next round
-        everything, _ = _letters(ordered)
-        score = np.concatenate([margins(everything[i : i + 8192], table) for i in range(0, len(everything), 8192)]) + bias
+        score = np.concatenate([margins(_letters(ordered[i : i + BLOCK])[0], table) for i in range(0, len(ordered), BLOCK)])
         hard = [ordered[i] for i in np.argsort(-score)[: TRAIN_WORDS // 3]]
         negatives = list(dict.fromkeys(negatives + hard[::-1]))
-    raw, offsets = string_buffers(pa.array(texts, pa.large_string()))
-    top, size = top_margins(raw, offsets, table, bias)
-    return Model(table, bias, _fit_logistic(_doc_features(top, size), toxic.astype(float)))
+    found = [
+        top_margins(*string_buffers(pa.array(texts[i : i + BLOCK // 8], pa.large_string())), table, bias)
+        for i in range(0, len(texts), BLOCK // 8)
+    ]
+    rows = _doc_features(np.concatenate([top for top, _ in found]), np.concatenate([size for _, size in found]))
+    return Model(table, bias, _fit_logistic(rows, toxic.astype(float)))
 
 
 def training_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
