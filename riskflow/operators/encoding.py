@@ -20,7 +20,6 @@ from riskflow.functions.columns import known, quoted, require, type_of
 from riskflow.plans.lookup import Lookup, TableSize, lookup_many
 from riskflow.plans.ordering import with_positions
 
-MAX_ONE_HOT_VALUES = 1000
 
 
 def _family(kind: T.DataType) -> tuple[str, str]:
@@ -58,16 +57,16 @@ class LabelDomain:
         family = self.families[column]
         return self.table.where(F.col("column") == column).select(F.col(family).alias("value"), "n", "code")
 
-    def values(self, column: str, limit: int = MAX_ONE_HOT_VALUES) -> list:
+    def values(self, column: str, limit: int | None = None) -> list:
         """Distinct values in order, for encodings with one output column each."""
         size = self.sizes[column].rows
-        if size > limit:
+        if limit is not None and size > limit:
             raise ValueError(f"{column} has {size} values, more than the {limit} output columns allowed")
         return [r["value"] for r in self.of(column).orderBy("code").collect()]
 
-    def texts(self, columns: Sequence[str], limit: int = MAX_ONE_HOT_VALUES) -> dict[str, list[str]]:
+    def texts(self, columns: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
         """Distinct values of several columns as text, in order, in one job."""
-        large = [f"{c} ({self.sizes[c].rows})" for c in columns if self.sizes[c].rows > limit]
+        large = [f"{c} ({self.sizes[c].rows})" for c in columns if limit is not None and self.sizes[c].rows > limit]
         if large:
             raise ValueError(f"more than the {limit} output columns allowed: {', '.join(large)}")
         text = F.coalesce(
@@ -210,6 +209,15 @@ def one_hot_name(column: str, value: object) -> str:
     return f"{column}_{text}"
 
 
+def unknown_name(column: str, values: Sequence) -> str:
+    """Name of the indicator of unknown values, which no value has."""
+    taken = {one_hot_name(column, v) for v in values}
+    name = one_hot_name(column, "unknown")
+    while name in taken:
+        name += "_"
+    return name
+
+
 def one_hot(
     df: DataFrame,
     cols: Sequence[str],
@@ -222,34 +230,35 @@ def one_hot(
 
     ``unknown="indicator"`` adds a last column that is 1 for values outside the
     domain and for missing ones; with ``"ignore"`` such rows are 0 in all
-    columns. ``drop="first"`` leaves out the smallest value.
+    columns. ``drop="first"`` leaves out the smallest value. A value called "unknown"
+    keeps its name; the indicator then gets an underscore more.
     """
     domain = domain or fit_label_encoder(df, cols)
     require(df, cols)
-    added: dict[str, Column] = {}
+    added: list[tuple[str, Column]] = []
     for c in cols:
-        values = domain.values(c)
-        added.update(one_hot_columns(_comparable(df, c), c, values, drop, unknown))
-    clash = [name for name in added if name in df.columns]
+        added += one_hot_columns(_comparable(df, c), c, domain.values(c), drop, unknown)
+    names = [name for name, _ in added]
+    clash = sorted({n for n in names if n in df.columns or names.count(n) > 1}) if len(set(names)) < len(names) or set(names) & set(df.columns) else []
     if clash:
-        raise ValueError(f"columns exist already: {', '.join(clash)}")
+        raise ValueError(f"columns would share a name: {', '.join(clash)}")
     kept = df.columns if keep else [c for c in df.columns if c not in cols]
-    return df.select(*[quoted(c) for c in kept], *[e.alias(n) for n, e in added.items()])
+    return df.select(*[quoted(c) for c in kept], *[e.alias(n) for n, e in added])
 
 
 def one_hot_columns(
     value: Column, column: str, values: Sequence, drop: str | None, unknown: str
-) -> dict[str, Column]:
-    """Output name to 0/1 expression."""
+) -> list[tuple[str, Column]]:
+    """Output names and 0/1 expressions."""
     if drop not in (None, "first"):
         raise ValueError(f"drop must be None or 'first', not {drop!r}")
     if unknown not in ("indicator", "ignore"):
         raise ValueError(f"unknown must be 'indicator' or 'ignore', not {unknown!r}")
     shown = list(values)[1:] if drop == "first" else list(values)
-    out = {one_hot_name(column, v): F.when(value == F.lit(v), F.lit(1)).otherwise(F.lit(0)) for v in shown}
+    out = [(one_hot_name(column, v), F.when(value == F.lit(v), F.lit(1)).otherwise(F.lit(0))) for v in shown]
     if unknown == "indicator":
         seen = value.isin(list(values)) if values else F.lit(False)
-        out[one_hot_name(column, "unknown")] = F.when(seen, F.lit(0)).otherwise(F.lit(1))
+        out.append((unknown_name(column, values), F.when(seen, F.lit(0)).otherwise(F.lit(1))))
     return out
 
 

@@ -65,12 +65,27 @@ def evaluate(
     return metrics
 
 
-def side_by_side(metrics: DataFrame, by: str = "split", names: Sequence[str] = ("accuracy", "precision", "recall", "f1")) -> DataFrame:
-    """One row per metric, one column per part, from the rows of ``evaluate``."""
+PARTS = ("train", "val", "test")
+
+
+def side_by_side(
+    metrics: DataFrame,
+    by: str = "split",
+    names: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
+    parts: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per metric, one column per part, from the rows of ``evaluate``.
+
+    Without ``parts``, all that the rows name: train, val and test first if any of them is there.
+    """
+    if parts is None:
+        found = [r[0] for r in metrics.select(by).distinct().collect()]
+        usual = list(PARTS) if set(found) & set(PARTS) else []
+        parts = [*usual, *sorted(p for p in found if p is not None and p not in usual)]
     long = metrics.select(
         by, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])).alias("_m")
     ).select(by, "_m.*")
-    return long.groupBy("metric").pivot(by, ["train", "val", "test"]).agg(F.first("value"))
+    return long.groupBy("metric").pivot(by, list(parts)).agg(F.first("value"))
 
 
 def prefixed(metrics: DataFrame, by: str = "split") -> DataFrame:
@@ -85,21 +100,19 @@ def prefixed(metrics: DataFrame, by: str = "split") -> DataFrame:
 def confusion(
     df: DataFrame, label: str, prediction: str, weight: str | None = None, classes: Sequence[int] = (0, 1)
 ) -> DataFrame:
-    """Rows (or their weight) per pair of label and prediction; every pair of classes is there."""
+    """Rows (or their weight) per pair of label and prediction.
+
+    Every pair of ``classes`` is there, and every other pair that occurs.
+    """
     require(df, [label, prediction])
     w = F.col(weight) if weight else F.lit(1)
-    pairs = [(a, b) for a in classes for b in classes]
-    sums = df.agg(
-        *[
-            _sum_if((F.col(label) == a) & (F.col(prediction) == b), w).alias(f"_{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    cells = [
-        F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.col(f"_{i}").alias("n"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return sums.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+    known = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    pair = [F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")]
+    counts = known.groupBy(*pair).agg(F.sum(w).alias("n"))
+    wanted = df.sparkSession.createDataFrame([(a, b) for a in classes for b in classes], "label int, prediction int")
+    # an outer join of two small tables: one row per pair of classes
+    whole = wanted.join(counts, ["label", "prediction"], "full")
+    return whole.withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def threshold_counts(
@@ -114,7 +127,8 @@ def threshold_counts(
     require(df, [label, score])
     step = F.col(score)
     if bins is not None:
-        step = F.floor(step * bins) / F.lit(float(bins))
+        # scores outside [0, 1] go to the first or last step, so there are bins + 1 rows at most
+        step = F.floor(F.least(F.greatest(step, F.lit(0.0)), F.lit(1.0)) * bins) / F.lit(float(bins))
     w = F.col(weight) if weight else F.lit(1)
     known = F.col(label).isNotNull() & F.col(score).isNotNull()
     per_score = (

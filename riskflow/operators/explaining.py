@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.columns import quoted, require
 
-MAX_BACKGROUND = 1000
+#: Rows sampled by default, as background and to be explained.
+SAMPLE_ROWS = 100
+#: Timestamps keep their microseconds on the way through the plan.
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def linear_attribution(df: DataFrame, coefficients: Mapping[str, float]) -> DataFrame:
@@ -98,19 +101,25 @@ def kernel_shap(
     n_coalitions: int = 500,
     seed: int = 0,
     prediction: str = "prediction",
+    n_background: int = SAMPLE_ROWS,
+    n_examples: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Attribution of each example's prediction to its features: (key, feature, phi, base, score).
 
-    ``score`` adds the prediction column to a DataFrame. ``background`` is a sample of at most
-    1000 rows; it travels with the plan as a constant, as do the coalitions. Each example is
+    ``score`` adds the prediction column to a DataFrame. ``n_background`` rows of the
+    background are sampled; they travel with the plan as a constant, as do the coalitions.
+    ``n_examples`` rows of the examples are explained. Examples that share a key but not their
+    features are explained each, equal ones once. Each example is
     unfolded into one row per coalition and background row, scored, and folded back.
     """
     names = list(features)
     require(examples, [key, *names])
     require(background, names)
-    rows = background.select(*[F.col(quoted(c)) for c in names]).limit(MAX_BACKGROUND + 1).collect()
-    if not 0 < len(rows) <= MAX_BACKGROUND:
-        raise ValueError(f"the background needs 1 to {MAX_BACKGROUND} rows, sample it first")
+    drawn = [F.xxhash64(F.lit(seed), *[F.col(quoted(c)) for c in names]), *[F.col(quoted(c)) for c in names]]
+    rows = background.select(*[F.col(quoted(c)) for c in names]).orderBy(*drawn).limit(n_background).collect()
+    if not rows:
+        raise ValueError("the background needs at least one row")
+    examples = examples.orderBy(F.xxhash64(F.lit(seed), F.col(quoted(key))), *drawn).limit(n_examples)
 
     masks, weights = coalitions(len(names), n_coalitions, seed)
     matrix, slope = solution_matrix(masks, weights) if len(masks) else (np.zeros((0, 0)), np.zeros(0))
@@ -123,21 +132,21 @@ def kernel_shap(
     spark = examples.sparkSession
     # constants of the plan: their size depends on the parameters, not on the data
     base_rows = spark.createDataFrame(rows, background.select(*names).schema)
-    packed = base_rows.select(F.to_json(F.collect_list(F.struct(*names))).alias("j")).first()["j"]
+    packed = base_rows.select(F.to_json(F.collect_list(F.struct(*names)), _EXACT).alias("j")).first()["j"]
     row_type = "array<struct<" + ",".join(
         f"`{f.name}`:{f.dataType.simpleString()}" for f in background.select(*names).schema
     ) + ">>"
     mask_type, solve_type = "array<array<int>>", "array<array<double>>"
     mask_text = json.dumps([t["mask"] for t in terms])
     unfolded = examples.select(
-        F.col(quoted(key)).alias("_key"),
+        F.struct(F.col(quoted(key)).alias("key"), F.xxhash64(*[F.col(quoted(c)) for c in names]).alias("row")).alias("_key"),
         *[F.col(quoted(c)).alias(f"_x{i}") for i, c in enumerate(names)],
         F.posexplode(F.from_json(F.lit(mask_text), mask_type)).alias("_term", "_mask"),
     )
     # a sample is one partition: spread it before it grows, on the keys it is folded by
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     unfolded = unfolded.repartition(tasks, "_key", "_term")
-    unfolded = unfolded.withColumn("_b", F.explode(F.from_json(F.lit(packed), row_type)))
+    unfolded = unfolded.withColumn("_b", F.explode(F.from_json(F.lit(packed), row_type, _EXACT)))
     mixed = unfolded.select(
         "_key",
         "_term",
@@ -167,7 +176,7 @@ def kernel_shap(
         last = last - phi
     phis.append(last)
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), p.alias("phi")) for c, p in zip(names, phis)])
-    return sums.select(F.col("_key").alias(key), F.explode(entries).alias("_e"), "base", "score").select(
+    return sums.select(F.col("_key.key").alias(key), F.explode(entries).alias("_e"), "base", "score").select(
         key, "_e.feature", "_e.phi", "base", "score"
     )
 

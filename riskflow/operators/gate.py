@@ -41,7 +41,7 @@ def check_predicts(model: PipelineModel, df: DataFrame) -> tuple[bool, str]:
     try:
         row = score(model, df).agg(F.count(F.lit(1)).alias("rows"), F.count("prediction").alias("scored")).first()
     except (PySparkException, Py4JJavaError, ValueError) as error:
-        return False, str(error).splitlines()[0]
+        return False, str(error)
     return row["rows"] == row["scored"], f"{row['scored']} of {row['rows']} rows scored"
 
 
@@ -151,8 +151,11 @@ def run_checks(
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def checks_wide(checks: DataFrame, names: Sequence[str] = CHECKS) -> DataFrame:
-    """One row per version, one column per check."""
+def checks_wide(checks: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """One row per version, one column per check: the known ones, then all others found."""
+    if names is None:
+        found = sorted(r["check"] for r in checks.select("check").distinct().collect())
+        names = [*CHECKS, *(c for c in found if c not in CHECKS)]
     return checks.groupBy("version").pivot("check", list(names)).agg(F.first("value"))
 
 

@@ -19,9 +19,7 @@ BASE_FIELDS = [T.StructField("name", T.StringType()), T.StructField("date", T.Ti
 def _field(name: str, value: object) -> T.StructField:
     if isinstance(value, bool):
         return T.StructField(name, T.BooleanType())
-    if isinstance(value, int):
-        return T.StructField(name, T.LongType())
-    if isinstance(value, float):
+    if isinstance(value, (int, float)):  # a metric may be 1 in one run and 0.5 in the next
         return T.StructField(name, T.DoubleType())
     return T.StructField(name, T.StringType())
 
@@ -29,7 +27,7 @@ def _field(name: str, value: object) -> T.StructField:
 def log_run(spark: SparkSession, path: str, name: str, values: Mapping[str, object], date: datetime | None = None) -> None:
     """Append one run. Names that are new to the log become null in earlier rows."""
     moment = date or datetime.now(timezone.utc)
-    known = {k: v for k, v in values.items() if v is not None}
+    known = {k: float(v) if isinstance(v, int) and not isinstance(v, bool) else v for k, v in values.items() if v is not None}
     schema = T.StructType([*BASE_FIELDS, *[_field(k, v) for k, v in known.items()]])
     append_versioned(spark.createDataFrame([(name, moment, *known.values())], schema), path)
 

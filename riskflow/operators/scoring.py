@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.functions.columns import count_if, linear, logistic, quoted, require
-from riskflow.sources.tables import write_table
+from riskflow.functions.columns import is_missing, count_if, linear, logistic, quoted, require
+from riskflow.sources.tables import read_table, write_table
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
@@ -38,10 +38,10 @@ def score_fixed(
 def score_to_table(
     model: PipelineModel, df: DataFrame, key: str, target: str, out: str = "prediction"
 ) -> DataFrame:
-    """Write all columns with the prediction; returns the (key, prediction) part of the plan."""
+    """Write all columns with the prediction; returns (key, prediction) as written."""
     scored = score(model, df, out)
     write_table(scored, target)
-    return scored.select(key, out)
+    return read_table(df.sparkSession, target).select(key, out)
 
 
 def signature(df: DataFrame, cols: Sequence[str]) -> T.StructType:
@@ -64,7 +64,7 @@ def load_model(path: str) -> tuple[PipelineModel, T.StructType]:
 
 
 def check_signature(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per expected input: missing values, values that do not fit the type, and whether it can be used.
+    """Per expected input: missing values, values the type cannot hold unchanged, and whether it can be used.
 
     One pass over the table. An absent column is not ok and has no counts; columns
     that are not in the signature are ignored.
@@ -73,11 +73,15 @@ def check_signature(df: DataFrame, schema: T.StructType) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(present):
         value = F.col(quoted(f.name))
-        aggs.append(count_if(value.isNull()).alias(f"null{i}"))
+        aggs.append(count_if(is_missing(df, f.name)).alias(f"null{i}"))
         if df.schema[f.name].dataType == f.dataType:
             aggs.append(F.lit(0).cast("bigint").alias(f"bad{i}"))
         else:
-            aggs.append(count_if(value.isNotNull() & value.try_cast(f.dataType).isNull()).alias(f"bad{i}"))
+            there = value.try_cast(f.dataType)
+            bad = there.isNull()
+            if not isinstance(df.schema[f.name].dataType, T.StringType):
+                bad = bad | ~there.try_cast(df.schema[f.name].dataType).eqNullSafe(value)
+            aggs.append(count_if(~is_missing(df, f.name) & bad).alias(f"bad{i}"))
     counts = df.agg(*aggs)
     position = {f.name: i for i, f in enumerate(present)}
     none = F.lit(None).cast("bigint")

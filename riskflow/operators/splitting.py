@@ -58,6 +58,7 @@ def _stratified(df, key, seed, weights, names, out, stratify) -> DataFrame:
     total = sum(weights)
     spot = F.struct(key_hash(F.col(quoted(key)), seed).alias("hash"), F.col(quoted(key)).alias("key"))
     slim = df.select(F.col(quoted(stratify)).alias("_class"), spot.alias("_spot")).where(F.col("_class").isNotNull())
+    slim = slim.where(F.col("_spot.key").isNotNull())
     ranked = with_positions(slim, ["_spot"], ["_class"], out="_rank", few_groups=True, size="_size")
     slot = F.floor(F.col("_rank") * total / F.col("_size"))
     edges = [sum(weights[: i + 1]) for i in range(len(weights) - 1)]
@@ -71,9 +72,9 @@ def _stratified(df, key, seed, weights, names, out, stratify) -> DataFrame:
     choice = F.lit(names[-1])
     for name, cut in reversed(list(zip(names, cut_names))):
         choice = F.when(F.col(cut).isNull() | (spot < F.col(cut)), F.lit(name)).otherwise(choice)
-    # rows without a label are cut by their hash alone
+    # rows without a label or without a key are cut by their hash alone, as without strata
     plain = _assign(hash_slot(F.col(quoted(key)), seed, total), weights, names)
-    result = F.when(F.col(quoted(stratify)).isNull(), plain).otherwise(choice)
+    result = F.when(F.col(quoted(stratify)).isNull() | F.col(quoted(key)).isNull(), plain).otherwise(choice)
     return placed.withColumn(out, result).drop("_class_rows", *cut_names)
 
 

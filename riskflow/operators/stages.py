@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import quoted, require
-from riskflow.operators.encoding import fit_label_encoder
+from riskflow.operators.encoding import fit_label_encoder, unknown_name
 
 
 class ColumnSelector(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -127,7 +127,8 @@ class OneHotFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadabl
         names = self.getInputCols()
         texts = fit_label_encoder(dataset, names).texts(names)
         first = 1 if self.getOrDefault(self.drop) == "first" else 0
-        slots = [{"values": texts[c], "shown": texts[c][first:]} for c in names]
+        types = {c: dataset.schema[c].dataType.simpleString() for c in names}
+        slots = [{"values": texts[c], "shown": texts[c][first:], "type": types[c]} for c in names]
         model = OneHotFeaturesModel(inputCols=names, outputCol=self.getOutputCol())
         return model._set(state=json.dumps({"slots": slots, "unknown": self.getOrDefault(self.unknown)}))
 
@@ -140,17 +141,40 @@ class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultP
 
     def feature_names(self) -> list[str]:
         found = self.fitted()
-        extra = ["unknown"] if found["unknown"] == "indicator" else []
-        return [f"{c}_{v}" for c, s in zip(self.getInputCols(), found["slots"]) for v in [*s["shown"], *extra]]
+        names = []
+        for c, s in zip(self.getInputCols(), found["slots"]):
+            names += [f"{c}_{v}" for v in s["shown"]]
+            if found["unknown"] == "indicator":
+                names.append(unknown_name(c, s["values"]))
+        return names
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         found = self.fitted()
         entries = []
         for c, slot in zip(self.getInputCols(), found["slots"]):
-            value = F.col(quoted(c)).cast("string")
-            entries += [F.when(value == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)) for v in slot["shown"]]
+            value = fitted_text(dataset, c, slot["type"])
+            # one expression for all values: its code does not grow with their number
+            shown = F.lit(slot["shown"]) if slot["shown"] else F.array().cast("array<string>")
+            entries.append(F.transform(shown, _equals(value)))
             if found["unknown"] == "indicator":
-                seen = value.isin(slot["values"]) if slot["values"] else F.lit(False)
-                entries.append(F.when(seen, F.lit(0.0)).otherwise(F.lit(1.0)))
-        return dataset.withColumn(self.getOutputCol(), F.array(*entries).cast("array<double>"))
+                seen = F.coalesce(value.isin(slot["values"]), F.lit(False)) if slot["values"] else F.lit(False)
+                entries.append(F.array(F.when(seen, F.lit(0.0)).otherwise(F.lit(1.0))))
+        return dataset.withColumn(self.getOutputCol(), F.concat(*entries) if len(entries) > 1 else entries[0])
+
+
+def _equals(value: Column):
+    """1.0 where an element equals the value, which may be null."""
+    return lambda element: F.coalesce((element == value).cast("double"), F.lit(0.0))
+
+
+def fitted_text(dataset: DataFrame, column: str, kind: str) -> Column:
+    """A value as the text the fit saw: in the fitted type, if it survives the way there and back."""
+    value = F.col(quoted(column))
+    now = dataset.schema[column].dataType.simpleString()
+    if now != kind:
+        there = value.try_cast(kind)
+        value = F.when(there.try_cast(now) == value, there) if now != "string" else there
+    if kind in ("float", "double"):
+        value = value + F.lit(0.0).cast(kind)
+    return value.cast("string")
 

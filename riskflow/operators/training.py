@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.columns import quoted, require
-from riskflow.operators.evaluation import evaluate
+from riskflow.operators.evaluation import evaluate, prefixed
 from riskflow.operators.splitting import with_class_weight, with_split
 from riskflow.operators.stages import (
     ColumnSelector,
@@ -214,8 +214,8 @@ def search(
     spec: FeatureSpec,
     key: str,
     grid: Sequence[Mapping[str, object]] = DEFAULT_GRID,
-    max_trials: int = 20,
-    timeout_s: float = 300.0,
+    max_trials: int | None = None,
+    timeout_s: float | None = None,
     parallelism: int = 2,
     seed: int = 0,
     stratify: bool = False,
@@ -224,8 +224,10 @@ def search(
     """Fit one model per grid entry and keep the one with the highest F1 on the validation part.
 
     Rows are split by the hash of their key and weighted so that classes count the same
-    in training. The prepared features are stored for all trials. No trial starts after the time
-    limit. With ``refit`` the winner is trained again on all rows.
+    in training. The prepared features are stored for all trials. Entries past ``max_trials``, and
+    those whose turn comes after ``timeout_s``, are reported as SKIPPED; there is no limit by
+    default. ``metrics`` has (run_id, name, value) of every finished trial, train weighted, the
+    other parts not. With ``refit`` the winner is trained again on all rows.
     """
     require(df, [label, key, *spec.columns()])
     labelled = df.where(F.col(quoted(label)).isNotNull())
@@ -247,27 +249,31 @@ def search(
             "params": json.dumps({k: v for k, v in trial.items() if k != "family"}, sort_keys=True),
             "status": "SKIPPED",
         }
-        if time.monotonic() - start > timeout_s:
-            return row, None
+        if (max_trials is not None and index >= max_trials) or (timeout_s is not None and time.monotonic() - start > timeout_s):
+            return row, None, []
         try:
             fitted = _classifier(trial, weight_sum, label, "weight", seed).fit(train)
-            found = evaluate(fitted.transform(prepared), label, "prediction").select("split", "f1").collect()
+            # only training rows have a weight other than 1
+            found = prefixed(evaluate(fitted.transform(prepared), label, "prediction", weight="weight")).collect()
         except (PySparkException, ValueError) as error:
-            return {**row, "status": "FAILED", "detail": str(error)[:500]}, None
-        f1 = {r["split"]: r["f1"] for r in found}
-        scores = {f"{p}_f1": f1.get(p, 0.0) for p in ("train", "val", "test")}
-        return {**row, "status": "FINISHED", **scores}, fitted
+            return {**row, "status": "FAILED", "detail": str(error)}, None, []
+        values = {r["name"]: r["value"] for r in found}
+        scores = {f"{p}_f1": values.get(f"{p}_f1", 0.0) for p in ("train", "val", "test")}
+        named = [(row["run_id"], name, value) for name, value in sorted(values.items())]
+        return {**row, "status": "FINISHED", **scores}, fitted, named
 
-    chosen = list(grid)[:max_trials]
+    chosen = list(grid)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         outcomes = list(pool.map(run, range(len(chosen)), chosen))
 
     spark = df.sparkSession
-    rows = [{f.name: row.get(f.name) for f in TRIAL_SCHEMA} for row, _ in outcomes]
+    rows = [{f.name: row.get(f.name) for f in TRIAL_SCHEMA} for row, _, _ in outcomes]
     trials = spark.createDataFrame([tuple(r.values()) for r in rows], TRIAL_SCHEMA)
-    finished = [(row, fitted) for row, fitted in outcomes if fitted is not None]
+    measured = [m for _, _, named in outcomes for m in named]
+    metrics = spark.createDataFrame(measured, "run_id string, name string, value double")
+    finished = [(row, fitted) for row, fitted, _ in outcomes if fitted is not None]
     if not finished:
-        return SearchResult(trials, None, None)
+        return SearchResult(trials, None, None, metrics)
     best, fitted = min(finished, key=lambda o: (-o[0]["val_f1"], o[0]["run_id"]))
     model = PipelineModel(stages=[*preparation.stages, fitted])
     if refit:
@@ -275,7 +281,7 @@ def search(
         settings = {"family": best["family"], **json.loads(best["params"])}
         again = _classifier(settings, total_weight(everything, "weight"), label, "weight", seed)
         model = build_pipeline(spec, again).fit(everything)
-    return SearchResult(trials, model, best)
+    return SearchResult(trials, model, best, metrics)
 
 
 def probability_of_one(df: DataFrame, out: str = "score", column: str = "probability") -> DataFrame:

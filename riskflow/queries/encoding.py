@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskflow.operators import cleaning, encoding, imputing, training
+from riskflow.operators import cleaning, encoding, imputing, stages, training
 from riskflow.queries.registry import INCIDENTS, incidents, query, rounded, table
 
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -220,3 +220,30 @@ def assemble_features(spark, sf_dir):
     prepared = Pipeline(stages=training.preprocess_stages(spec)).fit(rows).transform(rows)
     slots = prepared.select("doc_id", vector_to_array("features").alias("_v"))
     return slots.select("doc_id", *[F.round(F.col("_v")[i], 6).alias(f"v{i}") for i in range(8)])
+
+
+@query(
+    "one_hot_unknown_value",
+    """SELECT doc_id, (v IS NOT DISTINCT FROM 'en')::INT AS v_en, (v IS NOT DISTINCT FROM 'es')::INT AS v_es,
+              (v IS NOT DISTINCT FROM 'unknown')::INT AS v_unknown, (v IS NULL)::INT AS v_unknown_
+       FROM (SELECT doc_id, CASE lang WHEN 'fr' THEN 'unknown' WHEN 'de' THEN NULL ELSE lang END AS v FROM documents)""",
+)
+def one_hot_unknown_value(spark, sf_dir):
+    """A category that is called unknown beside values that are missing."""
+    lang = F.when(F.col("lang") == "fr", "unknown").when(F.col("lang") != "de", F.col("lang"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", lang.alias("v"))
+    return encoding.one_hot(documents, ["v"]).drop("v")
+
+
+@query(
+    "one_hot_widened",
+    """SELECT l_orderkey, l_linenumber, (l_linenumber % 7)::BIGINT AS slot FROM lineitem""",
+)
+def one_hot_widened(spark, sf_dir):
+    """Fitted on integers, applied to the same numbers as doubles: the slot of each value stays."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_linenumber") % 7).cast("bigint").alias("v"))
+    model = stages.OneHotFeatures(inputCols=["v"], outputCol="f").fit(lines)
+    names = F.lit(model.feature_names())
+    wide = model.transform(lines.withColumn("v", F.col("v").cast("double")))
+    name = F.element_at(names, F.array_position("f", 1.0).cast("int"))
+    return wide.select("l_orderkey", "l_linenumber", F.regexp_extract(name, "v_(.*)", 1).try_cast("bigint").alias("slot"))

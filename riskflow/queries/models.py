@@ -42,6 +42,69 @@ def train_logistic(spark, sf_dir):
     return training.coefficient_table(model)
 
 
+# One 0/1 feature: the optimum of the weighted L1 problem with C = 1 is known. With the weighted
+# positives of each side, p1 = (positives of x=1 - sign) / weight of x=1 and p0 = (positives of
+# x=0 + sign) / weight of x=0, unless that would turn the slope's sign; then the slope is 0.
+_BINARY = """
+  r AS (SELECT o_orderkey, (o_orderpriority <= '2-HIGH')::INT AS x, (o_orderstatus = 'F')::INT AS y FROM orders),
+  n AS (SELECT count(*)::DOUBLE AS n, sum(y)::DOUBLE AS pos FROM r),
+  g AS (SELECT sum(w) FILTER (x = 1) AS w1, sum(w) FILTER (x = 0) AS w0, coalesce(sum(w) FILTER (x = 1 AND y = 1), 0) AS y1,
+               coalesce(sum(w) FILTER (x = 0 AND y = 1), 0) AS y0
+        FROM (SELECT x, y, CASE WHEN y = 1 THEN n / (2 * pos) ELSE n / (2 * (n - pos)) END AS w FROM r, n)),
+  s AS (SELECT *, CASE WHEN (y1 - 1) / w1 > (y0 + 1) / w0 THEN 1 WHEN (y1 + 1) / w1 < (y0 - 1) / w0 THEN -1 ELSE 0 END AS sign FROM g),
+  p AS (SELECT CASE WHEN sign = 0 THEN (y1 + y0) / (w1 + w0) ELSE (y1 - sign) / w1 END AS p1,
+               CASE WHEN sign = 0 THEN (y1 + y0) / (w1 + w0) ELSE (y0 + sign) / w0 END AS p0 FROM s)"""
+
+
+def _binary_model(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {
+            "label": (F.col("o_orderstatus") == "F").cast("double"),
+            "urgent": (F.col("o_orderpriority") <= "2-HIGH").cast("int"),
+        }
+    )
+    spec = training.FeatureSpec(binary=["urgent"])
+    weighted = splitting.with_class_weight(orders, "label")
+    return training.fit_pipeline(weighted, spec, weight="weight", C=1.0), orders
+
+
+@query(
+    "train_logistic_binary",
+    f"""WITH {_BINARY} SELECT 'urgent_1' AS feature, round(ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)), 3) + 0.0 AS coefficient FROM p
+        UNION ALL SELECT '(intercept)', round(ln(p0 / (1 - p0)), 3) + 0.0 FROM p""",
+)
+def train_logistic_binary(spark, sf_dir):
+    """Coefficients against the closed form of the optimum."""
+    model, _ = _binary_model(spark, sf_dir)
+    found = training.coefficient_table(model)
+    return found.select("feature", (F.round("coefficient", 3) + 0.0).alias("coefficient"))
+
+
+_BINARY_PREDICTION = f"""(WITH {_BINARY} SELECT o_orderkey, CASE WHEN (CASE WHEN x = 1 THEN p1 ELSE p0 END) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+                         y FROM r, p)"""
+
+
+@query("score_batch_binary", f"SELECT o_orderkey, prediction FROM {_BINARY_PREDICTION}")
+def score_batch_binary(spark, sf_dir):
+    """A stored, reloaded model's predictions, as written."""
+    model, rows = _binary_model(spark, sf_dir)
+    path = new_path(spark, "model")
+    scoring.save_model(model, scoring.signature(rows, ["urgent"]), path)
+    again, _ = scoring.load_model(path)
+    return scoring.score_to_table(again, rows, "o_orderkey", new_path(spark, "predictions"))
+
+
+@query(
+    "evaluate_binary",
+    f"""SELECT count(*) FILTER (y = 1 AND prediction = 1) AS tp, count(*) FILTER (y = 0 AND prediction = 1) AS fp,
+               count(*) FILTER (y = 0 AND prediction = 0) AS tn, count(*) FILTER (y = 1 AND prediction = 0) AS fn FROM {_BINARY_PREDICTION}""",
+)
+def evaluate_binary(spark, sf_dir):
+    """Train, score and measure in one go."""
+    model, rows = _binary_model(spark, sf_dir)
+    return evaluation.evaluate(model.transform(rows), "label", "prediction", by=None).select("tp", "fp", "tn", "fn")
+
+
 @query("train_and_evaluate")
 def train_and_evaluate(spark, sf_dir):
     """Label, clean, split, weigh, fit, score, and measure each part."""
@@ -109,7 +172,7 @@ def get_or_train(spark, sf_dir):
         return {"status": "FINISHED", "val_f1": row["f1"], "n_rows": row["n"]}
 
     runlog.get_or_train(spark, path, "documents", train)
-    return runlog.get_or_train(spark, path, "documents", train).select("name", "n_rows")
+    return runlog.get_or_train(spark, path, "documents", train).select("name", F.col("n_rows").cast("bigint").alias("n_rows"))
 
 
 @query("stream_score")

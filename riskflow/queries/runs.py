@@ -59,3 +59,18 @@ def reset_runs(spark, sf_dir):
     append_versioned(log.where(F.col("status") == "FINISHED").select("name", "date", "run_id", "val_f1"), path)
     runlog.reset_runs(spark, path, "click")
     return read_versioned(spark, path)
+
+
+@query(
+    "mixed_metric_log",
+    """SELECT 'whole' AS name, count(*)::DOUBLE AS metric FROM events UNION ALL SELECT 'share', avg((value > 50)::INT) FROM events""",
+)
+def mixed_metric_log(spark, sf_dir):
+    """A metric that is an integer in one run and a fraction in the next."""
+    row = table(spark, sf_dir, "events").agg(
+        F.count("*").alias("n"), F.avg(F.when(F.col("value") > 50, 1).when(F.col("value").isNotNull(), 0)).alias("s")
+    ).first()
+    path = new_path(spark, "runs")
+    runlog.log_run(spark, path, "whole", {"metric": row["n"]})
+    runlog.log_run(spark, path, "share", {"metric": row["s"]})
+    return runlog.read_log(spark, path).select("name", "metric")

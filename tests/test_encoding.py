@@ -123,10 +123,23 @@ def test_one_hot(spark):
     assert codes(out, "v_1") == [0, 1, 0]
 
 
-def test_one_hot_refuses_too_many_values(spark):
-    domain = encoding.fit_label_encoder(spark.range(2000), ["id"])
-    with pytest.raises(ValueError, match="2000"):
-        encoding.one_hot(spark.range(5), ["id"], domain)
+def test_one_hot_keeps_a_value_called_unknown(spark):
+    out = encoding.one_hot(frame(spark, ["unknown", "a", None], "string"), ["v"]).orderBy("id").collect()
+    assert [(r["v_a"], r["v_unknown"], r["v_unknown_"]) for r in out] == [(0, 1, 0), (1, 0, 0), (0, 0, 1)]
+    clash = spark.createDataFrame([("b_c", "c")], "a string, a_b string")
+    with pytest.raises(ValueError, match="a_b_c"):
+        encoding.one_hot(clash, ["a", "a_b"], unknown="ignore")
+
+
+def test_one_hot_stage_bears_many_values_and_a_new_type(spark):
+    from riskflow.operators.stages import OneHotFeatures
+
+    many = spark.range(5000).select(F.col("id").alias("v"))
+    model = OneHotFeatures(inputCols=["v"], outputCol="f").fit(many)
+    assert len(model.feature_names()) == 5001
+    now = spark.createDataFrame([(7.0,), (7.5,), (None,), (-0.0,)], "v double")
+    rows = [r["f"] for r in model.transform(now).collect()]
+    assert [r.index(1.0) for r in rows] == [7, 5000, 5000, 0] and all(sum(r) == 1 for r in rows)
 
 
 def test_frequency(spark):

@@ -104,7 +104,18 @@ def test_search_takes_the_highest_f1(table):
 
 def test_search_respects_limits(table):
     found = training.search(table, "label", SPEC, "id", max_trials=2, timeout_s=-1)
-    assert [r["status"] for r in found.trials.collect()] == ["SKIPPED", "SKIPPED"] and found.model is None
+    assert {r["status"] for r in found.trials.collect()} == {"SKIPPED"} and found.model is None
+    assert found.trials.count() == len(training.DEFAULT_GRID) and found.metrics.count() == 0
+
+
+def test_no_entry_of_a_grid_is_lost(table):
+    grid = [{"family": "nonsense"}] * 24 + [{"family": "decision_tree", "max_depth": 1}]
+    found = training.search(table, "label", SPEC, "id", grid)
+    assert found.trials.count() == 25 and found.best["run_id"] == "trial-024"
+    names = {r["name"] for r in found.metrics.collect()}
+    assert {"train_f1", "val_accuracy", "test_recall"} <= names
+    few = training.search(table, "label", SPEC, "id", grid, max_trials=2)
+    assert [r["status"] for r in few.trials.orderBy("run_id").collect()] == ["FAILED"] * 2 + ["SKIPPED"] * 23
 
 
 def test_stream_gives_each_row_once(spark, table, tmp_path):
