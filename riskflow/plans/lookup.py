@@ -2,9 +2,9 @@
 
 The lookup table is broadcast when its measured size is below a limit. Above the limit
 it is a shuffle join. A key that fills a large share of the big side would then
-land in one task, so keys above a share of all rows are answered from a
-broadcast first: a share of 1/1024 can be passed by at most 1024 keys. Rows
-already answered, and rows with a null key, are spread by the task they
+land in one task, so the rows' keys are counted, and those above a share of all
+rows are answered from a broadcast first, whether the table has them or not: a
+share of 1/1024 can be passed by at most 1024 keys. Rows already answered, and rows with a null key, are spread by the task they
 come from and match nothing in the shuffle join.
 """
 
@@ -86,19 +86,25 @@ def lookup_many(df: DataFrame, lookups: Sequence[Lookup], max_rows: int | None =
     """Add several looked-up values, each from a table of its own.
 
     Keys are computed in one projection. Small tables are broadcast one after the other,
-    with no shuffle between them; the others take the way of ``lookup_join``.
+    with no shuffle between them, the smallest first and all together within the limit of
+    one; the others take the way of ``lookup_join``.
     """
+    budget, sent = MAX_BROADCAST_BYTES, set()
+    for i in sorted(range(len(lookups)), key=lambda i: lookups[i].size.bytes):
+        if lookups[i].size.fits(max_rows, budget):
+            budget -= lookups[i].size.bytes
+            sent.add(i)
     keyed = df.select("*", *[item.key.alias(f"_key{i}") for i, item in enumerate(lookups)])
     numbered = list(enumerate(lookups))
     for i, item in numbered:
-        if item.size.fits(max_rows):
+        if i in sent:
             slim = item.table.select(F.col(item.table_key).alias(f"_match{i}"), F.col(item.value).alias(item.out))
             keyed = keyed.join(F.broadcast(slim), F.col(f"_key{i}") == F.col(f"_match{i}"), "left")
     for i, item in numbered:
-        if not item.size.fits(max_rows):
+        if i not in sent:
             named = item.table.withColumnRenamed(item.value, item.out)
             keyed = lookup_join(
-                keyed, named, [(f"_key{i}", item.table_key)], [item.out], item.weight, item.size, max_rows
+                keyed, named, [(f"_key{i}", item.table_key)], [item.out], item.weight, item.size, 0
             )
     return keyed.select(*[quoted(c) for c in df.columns], *[item.out for item in lookups])
 
@@ -115,8 +121,8 @@ def lookup_join(
     """Left-join ``values`` of ``table`` onto ``df``.
 
     ``keys`` are (column of df, column of table) pairs, unique in ``table``, which
-    must be a stored table. ``weight`` names the column of ``table`` that counts the
-    rows behind a key; it finds hot keys.
+    must be a stored table. ``weight`` names a column of ``table`` that goes into the
+    measure of its size. Above the broadcast limit the keys of ``df`` are counted first.
     """
     size = size or measure(table, weight)
     key_names = [f"_k{i}" for i in range(len(keys))]
@@ -129,16 +135,10 @@ def lookup_join(
         joined = df.join(F.broadcast(slim.drop("_weight")), _equal(df, slim, keys, key_names), "left")
         return joined.drop(*key_names)
 
-    if weight:
-        # n > total/1024 holds for fewer than 1024 keys, whatever the data
-        hot = F.col("_weight") * HOT_SHARE > F.lit(size.weight)
-        hot_table = slim.where(hot).select(*key_names, F.struct(*values).alias("_hot"))
-        slim = slim.where(~hot)
-        df = df.join(F.broadcast(hot_table), _equal(df, hot_table, keys, key_names), "left").drop(*key_names)
-        settled = F.col("_hot").isNotNull()
-    else:
-        df = df.withColumn("_hot", F.lit(None).cast(T.StructType([table.schema[v] for v in values])))
-        settled = F.lit(False)
+    slim = slim.drop("_weight")
+    hot_table = _hot_rows(df, slim, keys, key_names, values)
+    df = df.join(F.broadcast(hot_table), _equal(df, hot_table, keys, key_names), "left").drop(*key_names)
+    settled = F.col("_hot_key").isNotNull()
     open_row = reduce(lambda a, b: a & b, [F.col(left).isNotNull() for left, _ in keys], ~settled)
 
     # pmod(.., 1) is always 0, but the optimizer cannot fold it away, so the
@@ -168,6 +168,18 @@ def lookup_join(
     return joined.select(*[df[c] for c in kept], *result)
 
 
+def _hot_rows(
+    df: DataFrame, slim: DataFrame, keys: Sequence[tuple[str, str]], names: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """Keys with more than 1/1024 of the rows of ``df`` (so fewer than 1024), with their values if the table has them."""
+    known = reduce(lambda a, b: a & b, [F.col(left).isNotNull() for left, _ in keys])
+    total = df.count()
+    counts = df.where(known).groupBy(*[F.col(left).alias(n) for (left, _), n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") * HOT_SHARE > F.lit(total)).select(*names)
+    found = slim.join(F.broadcast(hot), list(names))
+    return hot.join(found, list(names), "left").select(*names, F.struct(*values).alias("_hot"), F.lit(True).alias("_hot_key"))
+
+
 def _equal(
     df: DataFrame, table: DataFrame, keys: Sequence[tuple[str, str]], names: Sequence[str]
 ) -> Column:
