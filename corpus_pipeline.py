@@ -13,42 +13,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm.curriculum import mix_sources, readings
-from riskflow.llm.decontaminate import find_passages
+from riskflow.llm.decontaminate import drop_contaminated
 from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
+from riskflow.llm.grouping import without_ids
 from riskflow.llm.near_dedup import near_duplicates
-from riskflow.llm.toxicity import score_toxicity
+from riskflow.llm.toxicity import drop_toxic
 from riskflow.plans.shared import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not in ``gone``; rows without one stay."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _without(docs: DataFrame, groups: DataFrame, label: str) -> DataFrame:
+    """The rows that their group keeps; rows without a doc_id stay."""
+    gone = materialize(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("id")), label)
+    return without_ids(docs, "doc_id", gone)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for toxic go."""
-    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, materialize(scored.where("predicted = 1").select("doc_id"), "toxic"))
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest doc_id stays."""
-    groups = exact_duplicates(*split_deliveries(docs))
-    return _without(docs, materialize(groups.where("not kept").select("doc_id"), "copies"))
+    return _without(docs, exact_duplicates(*split_deliveries(docs)), "copies")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five words, similarity 0.8."""
-    groups = near_duplicates(docs)
-    return _without(docs, materialize(groups.where("not kept").select("doc_id"), "near_copies"))
+    return _without(docs, near_duplicates(docs), "near_copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = find_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, materialize(found.select("doc_id"), "leaks"))
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -229,14 +229,30 @@ def _edit_distances(item: np.ndarray, words: np.ndarray, at: np.ndarray, end: np
 _blocks: dict[str, Items] = {}
 
 
+def _items(packed, number: str) -> Items:
+    if number not in _blocks:
+        _blocks.clear()
+        _blocks[number] = pickle.loads(packed.value)
+    return _blocks[number]
+
+
+def _keep_clean(packed, number: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = _items(packed, number)
+        for batch in batches:
+            words, starts = column_words(batch.column(batch.schema.get_field_index("text")))
+            clean = np.ones(batch.num_rows, bool)
+            clean[[r[0] for r in items.verified(words, starts)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def _search(packed, number: str):
     schema = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if number not in _blocks:
-            _blocks.clear()
-            _blocks[number] = pickle.loads(packed.value)
-        items = _blocks[number]
+        items = _items(packed, number)
         for batch in batches:
             words, starts = column_words(batch.column(1))
             rows = list(items.verified(words, starts))
@@ -256,22 +272,38 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, share: float = SHA
     without doc_id. Repeated items give a row each, repeated documents too. Empty tables
     give no rows.
     """
-    spark = documents.sparkSession
+    texts = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    found = None
+    for packed, many in _item_blocks(benchmark, share):
+        part = texts.mapInArrow(_search(packed, uuid.uuid4().hex), SCHEMA)
+        if many:
+            part = materialize(part, "passages")
+            packed.unpersist()
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
+    """The rows of ``documents`` for which find_passages() finds no item, unchanged; a pass per block of items."""
+    kept = documents
+    for packed, many in _item_blocks(benchmark, share):
+        kept = kept.mapInArrow(_keep_clean(packed, uuid.uuid4().hex), documents.schema)
+        if many:
+            kept = materialize(kept, "clean")
+            packed.unpersist()
+    return kept
+
+
+def _item_blocks(benchmark: DataFrame, share: float):
+    """(broadcast block of items, whether there are several)."""
+    spark = benchmark.sparkSession
     queries = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
     total = queries.agg(F.coalesce(F.sum(count_words(F.col("text"))), F.lit(0)).alias("n")).first()["n"]
     blocks = total // BLOCK_WORDS + 1
     queries = queries.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     if blocks > 1:
         queries = materialize(queries, "items")
-    texts = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    found = None
     for block in range(blocks):
         rows = queries.where(F.col("block") == block).select("item_id", "text").collect()
         items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], share)
-        packed = spark.sparkContext.broadcast(pickle.dumps(items))
-        part = texts.mapInArrow(_search(packed, uuid.uuid4().hex), SCHEMA)
-        if blocks > 1:
-            part = materialize(part, "passages")
-            packed.unpersist()
-        found = part if found is None else found.unionByName(part)
-    return found
+        yield spark.sparkContext.broadcast(pickle.dumps(items)), blocks > 1
