@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.components import components
-from riskflow.llm.grouping import join_groups
+from riskflow.llm.grouping import join_groups, maybe_among
 from riskflow.llm.words import column_words, mix
 from riskflow.plans.shared import materialize
 
@@ -38,6 +38,8 @@ BANDS = 36
 ROWS = 5
 #: How far below the threshold a signature's estimate may lie, in standard deviations.
 SLACK = 5.0
+#: Minima of the longer signature by which pairs are screened.
+SCREEN = 512
 #: Classes of a bucket whose open pairs become rows, and bytes of sets in a chunk of a cluster.
 SMALL = 16
 CHUNK_BYTES = 8 << 20
@@ -252,18 +254,20 @@ def near_duplicates(
     )
     buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("class_id", "print")).alias("other"))
     members = materialize(keys.join(buckets.where("n > 1"), "key"), "members")
-    wanted = members.select("print").distinct()
+    candidates = members.select("class_id").distinct()
+    # texts without a partner are kept out of the shuffle
+    texts = maybe_among(
+        documents.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", candidates.select(F.col("class_id").alias("id"))
+    ).where("_maybe")
     sets = materialize(
-        documents.select(F.col("doc_id").cast("bigint"), "text")
-        .join(members.select("class_id").distinct(), F.col("doc_id") == F.col("class_id"), "left_semi")
+        # an inner join with distinct ids: a semi-join would be moved below the filter
+        texts.join(candidates, F.col("doc_id") == F.col("class_id"))
         .select("text")
-        .mapInArrow(_document_sets(shingle_words, bands * rows), "print binary, signature binary, members binary")
-        .dropDuplicates(["print"])
-        .join(wanted, "print", "left_semi"),
+        .mapInArrow(_document_sets(shingle_words, SCREEN), "print binary, signature binary, members binary"),
         "sets",
     )
     percent = round(threshold * 100)
-    compare = _comparison(sets, percent, _alike(threshold, bands * rows, SLACK))
+    compare = _comparison(sets, percent, _alike(threshold, SCREEN, SLACK))
     first = compare(_named(members.where("class_id <> other.class_id")))
     component = materialize(components(first, "class_a", "class_b"), "components")
     placed = materialize(_open_buckets(members, component), "open")
