@@ -112,6 +112,25 @@ def test_hot_value_and_nulls_are_spread(spark, plan):
     assert max(per_task.values()) < n / 3
 
 
+def test_a_hot_value_the_domain_lacks_is_spread(spark):
+    n = 24_000
+    fitted = encoding.fit_label_encoder(spark.range(0, n).select(F.col("id").alias("v")), ["v"])
+    value = F.when(F.col("id") % 3 == 0, F.lit(-5)).otherwise(F.col("id"))
+    new = spark.range(0, n, 1, 8).select("id", value.cast("bigint").alias("v"))
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        coded = encoding.encode(new, fitted, max_broadcast_rows=0)
+        rows = coded.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count("v").alias("known")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["n"] for r in rows) == n and sum(r["known"] for r in rows) == n - n // 3
+    assert max(r["n"] for r in rows) < n / 4
+
+
 def test_one_hot(spark):
     domain = encoding.fit_label_encoder(frame(spark, ["a", "b"], "string"), ["v"])
     new = frame(spark, ["a", "b", "z", None], "string")

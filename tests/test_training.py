@@ -183,8 +183,19 @@ def test_kernel_shap_adds_up_for_any_model(spark, table):
     assert all(r["s"] == pytest.approx(r["f"] - r["b"]) and r["f"] in (0.0, 1.0) for r in sums)
 
 
-def test_kernel_shap_refuses_an_unsampled_background(spark):
+def test_kernel_shap_samples_a_large_background(spark):
     df, names, _, score = linear_setup(spark, 2)
     wide = spark.range(2000).select(F.col("id").alias("k"), F.lit(1.0).alias("f0"), F.lit(1.0).alias("f1"))
-    with pytest.raises(ValueError, match="sample"):
-        explaining.kernel_shap(score, wide, df, names, "k")
+    phis = explaining.kernel_shap(score, wide, df, names, "k", n_background=5, n_examples=7)
+    assert phis.select("k").distinct().count() == 7
+    with pytest.raises(ValueError, match="at least one row"):
+        explaining.kernel_shap(score, wide.limit(0), df, names, "k")
+
+
+def test_kernel_shap_keeps_microseconds_and_tells_equal_keys_apart(spark):
+    moment = "CAST('2024-05-06 07:08:09.123456' AS TIMESTAMP) AS t"
+    same = spark.sql(f"SELECT 1 AS k, {moment}, 1.0D AS x UNION ALL SELECT 1, CAST('2024-05-06 07:08:09.123456' AS TIMESTAMP), 3.0D")
+    micros = F.unix_micros("t") % 1000000
+    phis = explaining.kernel_shap(lambda d: d.withColumn("prediction", micros + F.col("x")), same.where("x = 1"), same, ["t", "x"], "k")
+    found = sorted((r["feature"], round(r["phi"], 6)) for r in phis.collect())
+    assert found == [("t", 0.0), ("t", 0.0), ("x", 0.0), ("x", 2.0)]
