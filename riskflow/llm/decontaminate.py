@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.curriculum import count_words
-from riskflow.llm.words import column_words, mix
+from riskflow.llm.words import column_words, mix, text_blocks
 from riskflow.plans.shared import materialize
 
 SHARE = 0.2
@@ -239,7 +239,7 @@ def _items(packed, number: str) -> Items:
 def _keep_clean(packed, number: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _items(packed, number)
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             words, starts = column_words(batch.column(batch.schema.get_field_index("text")))
             clean = np.ones(batch.num_rows, bool)
             clean[[r[0] for r in items.verified(words, starts)]] = False
@@ -253,7 +253,7 @@ def _search(packed, number: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _items(packed, number)
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             words, starts = column_words(batch.column(1))
             rows = list(items.verified(words, starts))
             ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.components import components
 from riskflow.llm.grouping import join_groups, maybe_among
-from riskflow.llm.words import column_words, mix
+from riskflow.llm.words import column_words, mix, text_blocks
 from riskflow.plans.shared import materialize
 
 BANDS = 36
@@ -96,7 +96,7 @@ def _document_prints(k: int, bands: int, rows: int):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_blocks(batches, 1):
             hashes, starts = column_words(batch.column(1))
             sizes, prints, keys = [], [], []
             for i in range(batch.num_rows):
@@ -119,7 +119,7 @@ def _document_sets(k: int, minima: int):
     schema = pa.schema([("print", pa.binary()), ("signature", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_blocks(batches, 0):
             hashes, starts = column_words(batch.column(0))
             out: dict[str, list] = {"print": [], "signature": [], "members": []}
             for i in range(batch.num_rows):

@@ -33,11 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.grouping import nullable
-from riskflow.llm.words import column_words, mix, string_buffers
+from riskflow.llm.words import column_words, mix, text_blocks
 from riskflow.plans.shared import materialize
 
-#: Bytes of text counted together; it bounds a task's memory whatever the size of Arrow's batches.
-BLOCK_BYTES = 6 << 20
 #: Bytes of text per shard, tokens of a hot word, its sub-shards, and the prior's weight M.
 SHARD_BYTES = 40 << 20
 HOT_SHARE = 1000
@@ -168,25 +166,13 @@ def _blobs(sharding: Sharding, token, before, owner) -> Iterator[tuple[int, byte
         yield s, word_of[u], _small(pairs[u]), (pair[p] & np.uint64(0xFFFFFFFF)).astype(np.uint32), _small(times[p]), _small(text[t])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of batches of about BLOCK_BYTES of text, a longer text on its own."""
-    for batch in batches:
-        _, offsets = string_buffers(batch.column(1))
-        begin = 0
-        while begin < batch.num_rows:
-            stop = int(np.searchsorted(offsets, offsets[begin] + BLOCK_BYTES, side="right")) - 1
-            stop = min(max(stop, begin + 1), batch.num_rows)
-            yield batch.slice(begin, stop - begin)
-            begin = stop
-
-
 def _emit(sharding: Sharding | None, with_texts: bool, shards: int):
     """Blobs of each batch: counted words where there is no sharding yet, else counted pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         task = f"{context.partitionId()}" if context else "0"
-        for number, batch in enumerate(_blocks(batches)):
+        for number, batch in enumerate(text_blocks(batches, 1)):
             token, before, owner, sizes = _tokens(batch.column(1))
             rows = []
             if sharding is None:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import string_buffers, word_places
+from riskflow.llm.words import string_buffers, text_blocks, word_places
 
 #: Bounds of the training sample: labelled texts of each kind, bytes of one.
 TOXIC_TEXTS = 3000
@@ -392,7 +392,7 @@ def _score(packed):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = packed.value
-        for batch in batches:
+        for batch in text_blocks(batches, 1):
             raw, offsets = string_buffers(batch.column(1))
             top, size = top_margins(raw, offsets, model.table, model.bias)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(top, size))], schema=schema)
@@ -428,7 +428,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def _keep_clean(packed):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = packed.value
-        for batch in batches:
+        for batch in text_blocks(batches, "text"):
             raw, offsets = string_buffers(batch.column(batch.schema.get_field_index("text")).cast(pa.large_string()))
             yield batch.filter(pa.array(model.scores(*top_margins(raw, offsets, model.table, model.bias)) < 0.5))
 

@@ -15,6 +15,8 @@ import pyarrow as pa
 
 #: Bytes looked at together. Larger texts are cut at white space, words stay whole.
 SPAN = 1 << 20
+#: Bytes of text that a task works on together.
+BLOCK = 6 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -68,6 +70,22 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+def text_blocks(batches: Iterator[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with about BLOCK bytes of text each, a longer text on its own.
+
+    They bound what a task holds, whatever the size of Arrow's batches.
+    """
+    for batch in batches:
+        at = batch.schema.get_field_index(column) if isinstance(column, str) else column
+        _, offsets = string_buffers(batch.column(at))
+        begin = 0
+        while begin < batch.num_rows:
+            stop = int(np.searchsorted(offsets, offsets[begin] + BLOCK, side="right")) - 1
+            stop = min(max(stop, begin + 1), batch.num_rows)
+            yield batch.slice(begin, stop - begin)
+            begin = stop
+
+
 def _spans(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     """Stretches of about SPAN bytes that end where a text or a word ends."""
     at, end = int(offsets[0]), int(offsets[-1])
