@@ -351,6 +351,15 @@ def test_lines_shared_with_the_nearest_page_go(spark, monkeypatch):
     assert main_texts(df.limit(0)).count() == 0
 
 
+def test_every_page_of_a_host_is_aligned(spark, sf_dir, monkeypatch):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("url", F.concat(F.lit("http://one.example/"), "page_id"))
+    seen = []
+    join = html_text.join_groups
+    monkeypatch.setattr(html_text, "join_groups", lambda *a: seen.append(join(*a)) or seen[0])
+    assert main_texts(pages).count() == pages.count()
+    assert seen[0].select("page_id").distinct().count() == pages.select("page_id").distinct().count()
+
+
 def test_articles_come_out_whole(spark, sf_dir):
     import html
     import re
