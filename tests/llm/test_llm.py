@@ -351,6 +351,30 @@ def test_lines_shared_with_the_nearest_page_go(spark, monkeypatch):
     assert main_texts(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_pages_are_compared_whatever_their_template_and_past_their_copies(spark, partitions):
+    bare = "<div>Site</div><div>Log in</div><div>{}</div><div>Terms</div>"
+    full = "<nav>Site</nav><div class=ad>Log in</div><article><p>{}</article><footer>Terms</footer>"
+    rows = [(1, "http://mixed.example/a/1", bare.format("one")), (2, "http://mixed.example/a/2", full.format("two"))]
+    rows += [(10 + i, f"http://copies.example/a/{10 + i}", bare.format("copied")) for i in range(20)]
+    rows += [(40, "http://copies.example/b/1", bare.format("other")), (41, "http://copies.example/c/1", "")]
+    rows += [(50 + i, f"http://same.example/{i}", bare.format("same")) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert got[1] == "one" and got[2] == "two"
+    assert [got[10 + i] for i in range(20)] == ["copied"] * 20
+    assert got[40] == "other" and got[41] == ""
+    assert all("same" in got[50 + i] for i in range(3))
+
+
 def test_every_page_of_a_host_is_aligned(spark, sf_dir, monkeypatch):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("url", F.concat(F.lit("http://one.example/"), "page_id"))
     seen = []
