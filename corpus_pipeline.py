@@ -3,6 +3,9 @@
 Every stage works on all rows its predecessor kept. The first four return the columns of
 ``documents`` and drop rows; the last returns one row for each time a document is read,
 in training order, with the columns of ``documents`` and ``pass``, ``words``, ``position``.
+
+A doc_id may be null or repeated, so no stage tells rows apart by it: stages one and four
+look at each row by itself, and the others store their rows with a key of their own first.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.curriculum import mix_sources, readings
 from riskflow.llm.decontaminate import drop_contaminated
 from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
-from riskflow.llm.grouping import without_ids
+from riskflow.llm.grouping import join_groups, without_ids
 from riskflow.llm.near_dedup import near_duplicates
 from riskflow.llm.toxicity import drop_toxic
 from riskflow.plans.shared import materialize
@@ -23,10 +26,28 @@ from riskflow.plans.shared import materialize
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, groups: DataFrame, label: str) -> DataFrame:
-    """The rows that their group keeps; rows without a doc_id stay."""
-    gone = materialize(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("id")), label)
-    return without_ids(docs, "doc_id", gone)
+#: Names a row within a stage.
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame, label: str) -> DataFrame:
+    """The rows with a unique key, stored, as a key that is worked out anew may differ."""
+    return materialize(docs.withColumn(KEY, F.monotonically_increasing_id()), label)
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """What the operators need, with the key for doc_id."""
+    return keyed.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def _first_of_groups(keyed: DataFrame, groups: DataFrame, label: str) -> DataFrame:
+    """Of the rows of each (KEY, group) the one with the smallest doc_id, null last; rows without a group stay."""
+    named = materialize(groups.join(keyed.select(KEY, F.col("doc_id").cast("bigint").alias("id")), KEY), label)
+    turn = F.struct(F.col("id").isNull().alias("none"), "id", KEY)
+    first = named.groupBy("group").agg(F.count("*").alias("n_rows"), F.min(turn).getField(KEY).alias("first"))
+    first = materialize(first.where("n_rows > 1"), f"{label}_first")
+    gone = join_groups(named, first, "group", "n_rows").where(F.col(KEY) != F.col("first"))
+    return without_ids(keyed, KEY, materialize(gone.select(F.col(KEY).alias("id")), f"{label}_gone")).drop(KEY)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,13 +56,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest doc_id stays."""
-    return _without(docs, exact_duplicates(*split_deliveries(docs)), "copies")
+    """Of equal texts the row with the smallest doc_id stays."""
+    keyed = _keyed(docs, "rows")
+    copies = exact_duplicates(*split_deliveries(_by_key(keyed))).where("group_size > 1")
+    return _first_of_groups(keyed, copies.select(F.col("doc_id").alias(KEY), F.col("keep_id").alias("group")), "copies")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five words, similarity 0.8."""
-    return _without(docs, near_duplicates(docs), "near_copies")
+    """One row of each group of near copies stays: five words, similarity 0.8."""
+    keyed = _keyed(docs, "rows")
+    near = near_duplicates(_by_key(keyed))
+    return _first_of_groups(keyed, near.select(F.col("doc_id").alias(KEY), F.col("component_id").alias("group")), "near_copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +76,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix's readings in training order."""
-    read = materialize(readings(mix_sources(docs)), "readings")
-    return docs.join(read, "doc_id").repartitionByRange("position", "doc_id", "pass").sortWithinPartitions(
-        F.col("position"), F.col("doc_id"), F.col("pass")
-    )
+    keyed = _keyed(docs, "rows")
+    read = materialize(readings(mix_sources(keyed, KEY), KEY), "readings")
+    order = ["position", "doc_id", KEY, "pass"]
+    return keyed.join(read.drop("doc_id"), KEY).repartitionByRange(*order).sortWithinPartitions(*order).drop(KEY)
 
 
 STAGES: list[tuple[str, Stage]] = [

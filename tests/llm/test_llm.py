@@ -486,3 +486,37 @@ def test_stages_take_odd_rows(spark, odd_documents, no_documents, sf_dir):
     for df in (odd_documents, no_documents):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, df, sf_dir).count() <= max(3 * df.count(), 0)
+
+
+def test_stages_tell_rows_apart_whose_ids_are_null_or_repeated(spark, sf_dir):
+    rng = random.Random(5)
+    plain = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(30)]
+    copies = [plain[0], plain[0], plain[1], plain[2]]
+    near = [plain[i] + " more" for i in (3, 4, 4, 5)]
+    toxic = ["you idiot " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))]
+    held = [r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text").limit(2).collect()]
+    texts = plain + copies + near + toxic + [f"before {t} after" for t in held]
+    # a third null, a third with one id, the first of equal texts among them
+    odd = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 10**6 + i, t, "ab"[i % 2]) for i, t in enumerate(texts)]
+    odd.append((7, plain[7], "a"))
+    known = [(10**6 + i, t, s) for i, (_, t, s) in enumerate(odd)]
+    odd, known = (spark.createDataFrame(rows, "doc_id long, text string, source string") for rows in (odd, known))
+
+    def kept(stage, df):
+        return sorted(r["text"] for r in stage(spark, df, sf_dir).select("text").collect())
+
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "exact_dedup", "decontamination"):
+        assert kept(stages[name], odd) == kept(stages[name], known)
+    assert kept(stages["exact_dedup"], odd) == sorted(set(texts))
+    left = kept(stages["near_dedup"], odd)
+    assert len(left) == len(kept(stages["near_dedup"], known)) == len({t.removesuffix(" more") for t in texts})
+    assert {t.removesuffix(" more") for t in left} == {t.removesuffix(" more") for t in texts}
+    mixed = stages["mixing"](spark, odd, sf_dir).collect()
+    same = stages["mixing"](spark, known, sf_dir).collect()
+    for source in "ab":
+        assert sum(r["words"] for r in mixed if r["source"] == source) == sum(r["words"] for r in same if r["source"] == source)
+    # no text is read more often than its rows are passed
+    size = {t: len(t.split()) for t in texts}
+    assert all(r["words"] <= size[r["text"]] and r["pass"] <= 3 for r in mixed)
+    assert {r["doc_id"] for r in mixed} >= {None, 7}
