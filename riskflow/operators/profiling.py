@@ -115,7 +115,17 @@ def spread_of(frequencies: DataFrame, shares: Sequence[float], group: Sequence[s
     return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_distinct"), *columns)
 
 
-NUMERIC_FIELDS = ["n", "n_null", "min", "max", "mean", "std", "skew"]
+NUMERIC_FIELDS = ["n", "n_null", "min", "max", "min_value", "max_value", "mean", "std", "skew"]
+#: Numbers that a double may not hold.
+WIDE = (T.LongType, T.DecimalType)
+NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _distinct_counts(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(column, n_distinct) of text values, nulls left out."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()])
+    long = df.select(F.explode(pairs).alias("_pair")).select("_pair.*").where(F.col("value").isNotNull()).distinct()
+    return long.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
 def profile_numeric(
@@ -123,24 +133,30 @@ def profile_numeric(
 ) -> DataFrame:
     """Count, missing, distinct, range, mean, sample std, skewness and quantiles per numeric column.
 
+    Distinct counts and the text of the range (``min_value``, ``max_value``) are of the values
+    in their own type; ``min``, ``max``, moments and quantiles are doubles, and so not exact
+    for 64-bit integers and decimals beyond 2^53.
     Moments come from one pass. ``exact`` takes distinct counts and quantiles from
     the value frequencies; without it they are sketched in the same pass.
     """
     require(df, cols)
     aggs: list[Column] = []
     for i, c in enumerate(cols):
-        v = known(df, c).cast("double")
+        native = known(df, c)
+        v = native.cast("double")
         aggs += [
             F.count(v).alias(f"{i}_n"),
             count_if(is_missing(df, c)).alias(f"{i}_n_null"),
             F.min(v).alias(f"{i}_min"),
             F.max(v).alias(f"{i}_max"),
+            F.min(native).cast("string").alias(f"{i}_min_value"),
+            F.max(native).cast("string").alias(f"{i}_max_value"),
             F.avg(v).alias(f"{i}_mean"),
             F.stddev_samp(v).alias(f"{i}_std"),
             F.skewness(v).alias(f"{i}_skew"),
         ]
         if not exact:
-            aggs.append(F.approx_count_distinct(v).alias(f"{i}_n_distinct"))
+            aggs.append(F.approx_count_distinct(native).alias(f"{i}_n_distinct"))
             aggs += [F.percentile_approx(v, float(s)).alias(f"{i}_{_share_name(s)}") for s in shares]
     fields = list(NUMERIC_FIELDS)
     if not exact:
@@ -150,6 +166,11 @@ def profile_numeric(
     spread = spread_of(value_frequencies(df, cols), shares)
     # one row per profiled column
     joined = moments.join(F.broadcast(spread), "column", "left")
+    wide = {c: F.col(quoted(c)).cast("string") for c in cols if isinstance(type_of(df, c), WIDE)}
+    if wide:
+        exactly = _distinct_counts(df, wide).withColumnRenamed("n_distinct", "_own")
+        joined = joined.join(F.broadcast(exactly), "column", "left")
+        joined = joined.withColumn("n_distinct", F.coalesce("_own", "n_distinct")).drop("_own")
     return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 
@@ -177,27 +198,49 @@ def profile_string(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Da
     if not exact:
         return _long_form(df.agg(*aggs), cols, [*fields, "n_distinct"])
     result = _long_form(df.agg(*aggs), cols, fields)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("value")) for c in cols])
-    values = df.select(F.explode(pairs).alias("_pair")).select("_pair.*").where(F.col("value").isNotNull()).distinct()
-    distinct = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    distinct = _distinct_counts(df, {c: F.col(quoted(c)).cast("string") for c in cols})
     joined = result.join(F.broadcast(distinct), "column", "left")
     return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 
+def profile_complex(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+    """Count, missing and distinct per array, map, struct or binary column.
+
+    Distinct goes by the hash of a value's JSON text, or of its bytes; maps whose entries
+    stand in another order differ.
+    """
+    require(df, cols)
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": stamp + "XXX", "timestampNTZFormat": stamp}
+    aggs: list[Column] = []
+    hashes: dict[str, Column] = {}
+    for i, c in enumerate(cols):
+        v = F.col(quoted(c))
+        whole = F.to_json(F.struct(v.alias("v")), options) if isinstance(type_of(df, c), NESTED) else v
+        hashes[c] = F.when(v.isNotNull(), F.sha2(whole, 256))
+        aggs += [F.count(v).alias(f"{i}_n"), count_if(v.isNull()).alias(f"{i}_n_null")]
+        if not exact:
+            aggs.append(F.approx_count_distinct(hashes[c]).alias(f"{i}_n_distinct"))
+    result = _long_form(df.agg(*aggs), cols, ["n", "n_null"] if exact else ["n", "n_null", "n_distinct"])
+    if not exact:
+        return result
+    joined = result.join(F.broadcast(_distinct_counts(df, hashes)), "column", "left")
+    return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
-    """Profile every column: numeric ones by their values, others by their text."""
+    """Profile every column: numbers by value, arrays, maps, structs and binary by hash, others by text."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, NUMERIC)]
-    other = [
-        f.name
-        for f in df.schema
-        if f.name not in numeric and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
-    ]
+    nested = [f.name for f in df.schema if isinstance(f.dataType, (*NESTED, T.BinaryType))]
+    other = [f.name for f in df.schema if f.name not in numeric and f.name not in nested]
     parts = []
     if numeric:
         parts.append(profile_numeric(df, numeric, exact=exact))
     if other:
         text = profile_string(df, other, exact=exact)
         parts.append(text.withColumnsRenamed({"min": "first_value", "max": "last_value"}))
+    if nested:
+        parts.append(profile_complex(df, nested, exact=exact))
     if not parts:
         raise ValueError("no column can be profiled")
     result = parts[0]

@@ -75,6 +75,18 @@ def profile_all_columns(spark, sf_dir):
     return profiling.profile(table(spark, sf_dir, "orders"))
 
 
+@query(
+    "profile_wide_ids",
+    """SELECT 'id' AS "column", count(id) AS n, count(*) - count(id) AS n_null, CAST(min(id) AS VARCHAR) AS min_value,
+       CAST(max(id) AS VARCHAR) AS max_value, count(DISTINCT id) AS n_distinct
+       FROM (SELECT o_orderkey + 9007199254740992 AS id FROM orders)""",
+)
+def profile_wide_ids(spark, sf_dir):
+    """Ids above 2^53, which a double cannot tell apart."""
+    ids = table(spark, sf_dir, "orders").selectExpr("o_orderkey + 9007199254740992 AS id")
+    return profiling.profile(ids, exact=True).select("column", "n", "n_null", "min_value", "max_value", "n_distinct")
+
+
 @query("value_counts", "SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 10")
 def value_counts(spark, sf_dir):
     return profiling.value_counts(table(spark, sf_dir, "part"), "p_brand", 10)

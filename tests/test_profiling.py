@@ -56,6 +56,19 @@ def test_whole_profile_covers_all_columns(mixed):
     assert rows["s"]["n_distinct"] == 2 and rows["s"]["first_value"] == "a"
 
 
+def test_whole_profile_of_wide_numbers_and_complex_columns(spark):
+    big = 2**53
+    rows = [(big, [1], {"a": 1}, (1, None), b"x"), (big + 1, [1, 2], {"a": 2}, (None, 1), b"x"), (big + 1, None, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, a array<int>, m map<string,int>, s struct<p:int,q:int>, b binary")
+    df = df.withColumn("d", F.expr("cast(id as decimal(30,2)) + 0.25"))
+    for exact in (True, False):
+        got = {r["column"]: r for r in profiling.profile(df, exact=exact).collect()}
+        assert set(got) == set(df.columns)
+        assert [got["id"][f] for f in ("n_distinct", "min_value", "max_value")] == [2, str(big), str(big + 1)]
+        assert got["d"]["n_distinct"] == 2 and got["d"]["max_value"] == f"{big + 1}.25"
+        assert [(got[c]["n"], got[c]["n_null"], got[c]["n_distinct"]) for c in "amsb"] == [(2, 1, 2), (2, 1, 2), (2, 1, 2), (2, 1, 1)]
+
+
 def test_value_counts_breaks_ties_by_value(mixed):
     assert [tuple(r) for r in profiling.value_counts(mixed, "s", 2).collect()] == [("a", 2), (None, 1)]
 
