@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.llm.bpe_codec import decode_ids, encode_texts
 from riskflow.llm.curriculum import mix_sources
 from riskflow.llm.decontaminate import find_passages
 from riskflow.llm.exact_dedup import exact_duplicates, split_deliveries
+from riskflow.llm.hard_negatives import mine_hard_negatives
 from riskflow.llm.host_reputation import judge_urls
 from riskflow.llm.html_text import main_texts
+from riskflow.llm.lexical_search import rank_documents
 from riskflow.llm.near_dedup import near_duplicates
 from riskflow.llm.ngram_trie import score_texts
 from riskflow.llm.quality import judge_quality
@@ -162,6 +165,74 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vector are moved on by one; every hundredth vector is an anchor."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (SELECT * FROM e WHERE vec_id % 100 = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, e.vec_id, e.label, list_dot_product(a.v, e.v)::BIGINT AS score
+  FROM a, e WHERE a.vec_id <> e.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id))::INT AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> s.anchor_label
+  WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of each benchmark item."""
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row_key, doc_id, text FROM documents),
+t AS (SELECT row_key, doc_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+p AS (SELECT row_key, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM t GROUP BY row_key, term),
+l AS (SELECT row_key, sum(tf)::BIGINT AS n FROM p GROUP BY row_key),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM l),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term),
+b AS (SELECT row_number() OVER () AS item, item_id, text FROM benchmark),
+i AS (SELECT item, item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM b),
+q AS (SELECT item, any_value(item_id) AS item_id, term, count(*) AS times FROM i GROUP BY item, term),
+s AS (
+  SELECT q.item, any_value(q.item_id) AS item_id, p.row_key, any_value(p.doc_id) AS doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // words)))))::BIGINT AS score
+  FROM q JOIN p ON q.term = p.term JOIN w ON p.term = w.term JOIN l ON p.row_key = l.row_key, c GROUP BY q.item, p.row_key
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank FROM s WHERE score > 0
+) WHERE rank <= 20
+"""
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of what they decode to."""
+    file = tokenizer_file("word_bpe_49k.json")
+    coded = decode_ids(encode_texts(_table(spark, sf_dir, "documents"), file), file)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
@@ -173,10 +244,15 @@ QUERIES: dict[str, Query] = {
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
 }
 
 SQL: dict[str, str] = {
     "op6_exact_dedup": OP6_SQL,
     "op7_url_reputation": OP7_SQL,
     "op8_curriculum_mix": OP8_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }

@@ -19,14 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import mix, string_buffers
+from riskflow.llm.words import string_buffers
 
 #: Bytes looked at together, bytes encoded in one call, and units a worker remembers.
 SPAN = 1 << 20
 CALL_BYTES = 1 << 19
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SOLID = np.zeros(256, dtype=bool)
@@ -85,27 +84,8 @@ def unit_spans(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
         at = int(starts[-1])
 
 
-def _unit_prints(raw: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
-    """A 64-bit print of each unit's bytes."""
-    lo = int(starts[0])
-    n = end - lo
-    power = np.full(n, _BASE, dtype=np.uint64)
-    power[0] = 1
-    power = np.cumprod(power)
-    value = mix(raw[lo:end].astype(np.uint64) + np.uint64(1)) if n < 512 else _BYTE[raw[lo:end]]
-    sums = np.add.reduceat(value * power, starts - lo)
-    inverse = np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)), dtype=np.uint64)
-    inverse[0] = 1
-    inverse = np.cumprod(inverse)
-    lengths = np.diff(np.append(starts, end)).astype(np.uint64)
-    return mix(sums * inverse[starts - lo] + lengths)
-
-
-_BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))
-
-
 class Lengths:
-    """Token counts of units, remembered by their prints."""
+    """Token counts of units, remembered by their bytes."""
 
     def __init__(self, file: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -114,8 +94,7 @@ class Lengths:
         self.encoder = Tokenizer.from_file(file)
         self.encoder.no_truncation()
         self.encoder.no_padding()
-        self.prints = np.zeros(0, np.uint64)
-        self.counts = np.zeros(0, np.int64)
+        self.known: dict[bytes, int] = {}
 
     def _encode(self, units: list[str]) -> Iterator[int]:
         call, size = [], 0
@@ -129,25 +108,17 @@ class Lengths:
 
     def of(self, raw: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
         """The token count of each unit."""
-        prints, first, back = np.unique(_unit_prints(raw, starts, end), return_index=True, return_inverse=True)
-        place = np.searchsorted(self.prints, prints)
-        known = np.zeros(len(prints), dtype=bool)
-        inside = place < len(self.prints)
-        known[inside] = self.prints[place[inside]] == prints[inside]
-        counts = np.zeros(len(prints), np.int64)
-        counts[known] = self.counts[place[known]]
-        new = np.flatnonzero(~known)
-        if len(new):
-            stops = np.append(starts[1:], end)
-            spots = first[new]
-            units = [raw[a:b].tobytes().decode() for a, b in zip(starts[spots].tolist(), stops[spots].tolist())]
-            counts[new] = np.fromiter(self._encode(units), np.int64, len(new))
-            if len(self.prints) + len(new) > REMEMBERED:
-                self.prints, self.counts = prints, counts
-            else:
-                self.prints = np.insert(self.prints, place[new], prints[new])
-                self.counts = np.insert(self.counts, place[new], counts[new])
-        return counts[back]
+        lo = int(starts[0])
+        places = pa.py_buffer((np.append(starts, end) - lo).astype(np.int32))
+        units = pa.Array.from_buffers(pa.binary(), len(starts), [None, places, pa.py_buffer(raw[lo:end])])
+        coded = units.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        new = [unit for unit in distinct if unit not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {unit: self.known[unit] for unit in distinct if unit in self.known}
+        self.known.update(zip(new, self._encode([unit.decode() for unit in new])))
+        counts = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return counts[coded.indices.to_numpy()]
 
 
 _lengths: dict[str, Lengths] = {}

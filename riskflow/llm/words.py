@@ -1,28 +1,33 @@
-"""Words of many texts at once, as 64-bit hashes, with numpy inside Arrow batches.
+"""Words of many texts at once, as 64-bit hashes, with numpy and Arrow inside Arrow batches.
 
-A word is ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. The hash of a word is a
-polynomial in its bytes modulo 2**64, read off running sums over the whole buffer, so
-no Python object is made for a word. It depends on the word alone, never on where it
-stands or how texts are batched.
+A word is ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. The words of a stretch are
+cut out as one Arrow array, whose distinct values are hashed one by one (XXH3, 64 bits).
+The hash depends on the word alone, never on where it stands or how texts are batched.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 #: Bytes looked at together. Larger texts are cut at white space, words stay whole.
 SPAN = 1 << 20
 #: Bytes of text that a task works on together.
 BLOCK = 6 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_SOLID = ~_SPACE
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not the GNU C library
+    _TRIM = None
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -35,30 +40,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _letters() -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
-    return values
-
-
-_LETTER = _letters()
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = SPAN + 1
-    while size < n + 1:
-        size *= 2
-    if size not in _powers:
-        tables = []
-        for factor in (_BASE, _INVERSE):
-            steps = np.full(size, factor, dtype=np.uint64)
-            steps[0] = 1
-            tables.append(np.cumprod(steps))
-        _powers.clear()
-        _powers[size] = (tables[0], tables[1])
-    return _powers[size]
-
-
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null rows have no bytes."""
     column = column.cast(pa.large_string()) if column.type != pa.large_string() else column
@@ -70,6 +51,13 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+def release_memory() -> None:
+    """Give memory that Arrow and the C library hold unused back; workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
     """Parts of batches with about BLOCK bytes of text each, a longer text on its own.
 
@@ -84,6 +72,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str | int) -> Iterato
             stop = min(max(stop, begin + 1), batch.num_rows)
             yield batch.slice(begin, stop - begin)
             begin = stop
+        release_memory()
 
 
 def _spans(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -108,28 +97,44 @@ def _spans(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = border
 
 
-def word_places(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first byte, byte after the last) of all words in order."""
-    hashes, firsts, stops = [], [], []
+def word_tokens(
+    raw: np.ndarray, offsets: np.ndarray, solid: np.ndarray = _SOLID, letters: np.ndarray = _LOWER
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(words as an Arrow array of bytes, first byte of each), about SPAN bytes at a time.
+
+    ``solid`` says of each byte whether it belongs to a word (ASCII white space must not),
+    ``letters`` what it is written as.
+    """
     for lo, hi in _spans(raw, offsets):
         part = raw[lo:hi]
-        word = ~_SPACE[part]
+        word = solid[part]
         first = word.copy()
         first[1:] &= ~word[:-1]
         borders = offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi)] - lo
         first[borders] = word[borders]
-        last = word.copy()
-        last[:-1] &= ~word[1:]
-        inner = borders[borders > 0]
-        last[inner - 1] = word[inner - 1]
-        begin, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-        power, inverse = _power_tables(hi - lo)
-        sums = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum(_LETTER[part] * power[: hi - lo], out=sums[1:])
-        values = (sums[stop] - sums[begin]) * inverse[begin]
-        hashes.append(mix(values + (stop - begin).astype(np.uint64)))
-        firsts.append(begin + lo)
-        stops.append(stop + lo)
+        begin = np.flatnonzero(first)
+        kept = letters[part[word]]
+        at = np.cumsum(word, dtype=np.int32)[begin] - 1
+        places = np.append(at, len(kept)).astype(np.int32)
+        tokens = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(places), pa.py_buffer(kept)])
+        yield tokens, begin + lo
+
+
+def token_lengths(tokens: pa.Array) -> np.ndarray:
+    """Bytes of each value of an Arrow array of bytes that starts its buffers."""
+    return np.diff(np.frombuffer(tokens.buffers()[1], np.int32)[: len(tokens) + 1])
+
+
+def word_places(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, byte after the last) of all words in order."""
+    hashes, firsts, stops = [], [], []
+    for tokens, begin in word_tokens(raw, offsets):
+        coded = tokens.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        prints = np.fromiter(map(xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+        hashes.append(prints[coded.indices.to_numpy()])
+        firsts.append(begin)
+        stops.append(begin + token_lengths(tokens))
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(stops)
