@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from riskflow.functions.columns import known, quoted, require, type_of
 from riskflow.plans.lookup import Lookup, TableSize, lookup_many
 from riskflow.plans.ordering import with_positions
-
+from riskflow.plans.shared import materialize
 
 
 def _family(kind: T.DataType) -> tuple[str, str]:
@@ -116,10 +116,12 @@ def _sizes(table: DataFrame, families: Mapping[str, str]) -> dict[str, TableSize
     return {c: found.get(c, TableSize(0, 0, 0)) for c in families}
 
 
-def fit_label_encoder(df: DataFrame, cols: Sequence[str] | None = None) -> LabelDomain:
-    """Code = position of a value among the sorted distinct values of its column, from 0."""
-    names = list(cols or df.columns)
-    require(df, names)
+def long_values(df: DataFrame, names: Sequence[str], missing: bool = False, keep: Sequence[str] = ()) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """(rows (kept columns, column, value columns), value column of each column, all value columns).
+
+    One row per row and column; those without a value only on request. Values of one
+    family share a value column, the others are null.
+    """
     families = {c: _family(type_of(df, c)) for c in names}
     value_cols = sorted(set(families.values()))
     entries = [
@@ -132,13 +134,43 @@ def fit_label_encoder(df: DataFrame, cols: Sequence[str] | None = None) -> Label
         )
         for c in names
     ]
-    long = df.select(F.explode(F.array(*entries)).alias("_entry")).select("_entry.*")
     order = [v for v, _ in value_cols]
-    present = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in order])
-    distinct = long.where(present).groupBy("column", *order).agg(F.count(F.lit(1)).alias("n"))
+    kept = [F.col(quoted(k)) for k in keep]
+    long = df.select(*kept, F.explode(F.array(*entries)).alias("_entry")).select(*kept, "_entry.*")
+    if not missing:
+        long = long.where(reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in order]))
+    return long, {c: family for c, (family, _) in families.items()}, order
+
+
+def _counted(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """As long_values(), with one row per distinct value and ``n``, the rows that hold it."""
+    long, families, order = long_values(df, names)
+    return long.groupBy("column", *order).agg(F.count(F.lit(1)).alias("n")), families, order
+
+
+def few_values(df: DataFrame, names: Sequence[str], limit: int) -> dict[str, list[str]] | None:
+    """Distinct values of several columns as text, in order, by one job; None when there are more than ``limit``."""
+    counted, families, order = _counted(df, names)
+    first = counted.orderBy("column", *order).limit(limit + 1)
+    text = F.coalesce(
+        *[F.when(F.col("column") == c, F.col(families[c]).cast(type_of(df, c)).cast("string")) for c in names]
+    )
+    rows = first.select("column", text.alias("text")).collect()
+    if len(rows) > limit:
+        return None
+    found: dict[str, list[str]] = {c: [] for c in names}
+    for r in rows:
+        found[r["column"]].append(r["text"])
+    return found
+
+
+def fit_label_encoder(df: DataFrame, cols: Sequence[str] | None = None) -> LabelDomain:
+    """Code = position of a value among the sorted distinct values of its column, from 0."""
+    names = list(cols or df.columns)
+    require(df, names)
+    distinct, by_column, order = _counted(df, names)
     coded = with_positions(distinct, order, ["column"], out="code", few_groups=True)
     table = coded.select("column", *order, "n", "code")
-    by_column = {c: family for c, (family, _) in families.items()}
     types = {c: type_of(df, c).simpleString() for c in names}
     return LabelDomain(table, by_column, types, _sizes(table, by_column))
 
@@ -263,9 +295,15 @@ def one_hot_columns(
 
 
 def frequency_encode(df: DataFrame, cols: Sequence[str], domain: LabelDomain | None = None, suffix: str = "_n") -> DataFrame:
-    """Add how many fitted rows share the value; 0 for a value outside the domain."""
-    domain = domain or fit_label_encoder(df, cols)
+    """Add how many fitted rows share the value; 0 for a value outside the domain.
+
+    Without a domain the values are counted, which needs no order and so no sort.
+    """
     require(df, cols)
+    if domain is None:
+        counted, families, _ = _counted(df, cols)
+        table = materialize(counted, "frequencies").withColumn("code", F.lit(None).cast("bigint"))
+        domain = LabelDomain(table, families, {}, _sizes(table, families))
     lookups = [
         Lookup(f"_count{i}", _comparable(df, c), domain.of(c).withColumn("rows", F.col("n")), "value", "rows", "n", domain.sizes[c])
         for i, c in enumerate(cols)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskflow.functions.columns import ratio, require
+from riskflow.functions.columns import FRACTIONAL, known, ratio, require, type_of
 from riskflow.plans.ordering import running_sums
 
 LOG_FLOOR = 1e-15
@@ -89,27 +89,33 @@ def side_by_side(
 
 
 def prefixed(metrics: DataFrame, by: str = "split") -> DataFrame:
-    """(name, value) rows with names such as ``val_f1``."""
+    """(name, value) rows with names such as ``val_f1``; rows without a part are named ``none_f1``."""
     names = [c for c in metrics.columns if c != by]
+    part = F.coalesce(F.col(by).cast("string"), F.lit("none"))
     entries = F.array(
-        *[F.struct(F.concat(F.col(by), F.lit(f"_{c}")).alias("name"), F.col(c).cast("double").alias("value")) for c in names]
+        *[F.struct(F.concat(part, F.lit(f"_{c}")).alias("name"), F.col(c).cast("double").alias("value")) for c in names]
     )
     return metrics.select(F.explode(entries).alias("_e")).select("_e.*")
 
 
 def confusion(
-    df: DataFrame, label: str, prediction: str, weight: str | None = None, classes: Sequence[int] = (0, 1)
+    df: DataFrame, label: str, prediction: str, weight: str | None = None, classes: Sequence = (0, 1)
 ) -> DataFrame:
-    """Rows (or their weight) per pair of label and prediction.
+    """Rows (or their weight) per pair of label and prediction, both as they are.
 
-    Every pair of ``classes`` is there, and every other pair that occurs.
+    Every pair of ``classes`` is there, and every other pair that occurs. Labels keep their type (a
+    prediction may have another); -0.0 counts as 0.0, and NaN as missing.
     """
     require(df, [label, prediction])
     w = F.col(weight) if weight else F.lit(1)
-    known = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    pair = [F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")]
-    counts = known.groupBy(*pair).agg(F.sum(w).alias("n"))
-    wanted = df.sparkSession.createDataFrame([(a, b) for a in classes for b in classes], "label int, prediction int")
+    pair = {}
+    for name, source in (("label", label), ("prediction", prediction)):
+        value = known(df, source)
+        pair[name] = value + F.lit(0.0) if isinstance(type_of(df, source), FRACTIONAL) else value
+    pairs = df.select(*[v.alias(n) for n, v in pair.items()], w.alias("_w")).dropna(subset=["label", "prediction"])
+    counts = pairs.groupBy("label", "prediction").agg(F.sum("_w").alias("n"))
+    wanted = df.sparkSession.createDataFrame([(a, b) for a in classes for b in classes], ["_label", "_prediction"])
+    wanted = wanted.select(*[F.col(f"_{n}").cast(counts.schema[n].dataType).alias(n) for n in ("label", "prediction")])
     # an outer join of two small tables: one row per pair of classes
     whole = wanted.join(counts, ["label", "prediction"], "full")
     return whole.withColumn("n", F.coalesce("n", F.lit(0)))
@@ -130,9 +136,9 @@ def threshold_counts(
         # scores outside [0, 1] go to the first or last step, so there are bins + 1 rows at most
         step = F.floor(F.least(F.greatest(step, F.lit(0.0)), F.lit(1.0)) * bins) / F.lit(float(bins))
     w = F.col(weight) if weight else F.lit(1)
-    known = F.col(label).isNotNull() & F.col(score).isNotNull()
+    both = F.col(label).isNotNull() & F.col(score).isNotNull()
     per_score = (
-        df.where(known)
+        df.where(both)
         .groupBy(step.alias("threshold"))
         .agg(_sum_if(F.col(label) == 1, w).alias("pos"), _sum_if(F.col(label) != 1, w).alias("neg"))
     )

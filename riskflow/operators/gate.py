@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.functions.columns import count_if
+from riskflow.functions.columns import count_if, quoted, ratio, require
 from riskflow.operators.profiling import sliced_accuracy
 from riskflow.operators.scoring import check_signature, score
+from riskflow.plans.shared import materialize
 
 CHECK_SCHEMA = "version string, check string, value string, detail string"
 CHECKS = ("has_description", "has_signature", "predicts", "slice_test")
@@ -132,20 +133,38 @@ def run_checks(
     mode: str = "strict",
     min_obs: int = 0,
 ) -> DataFrame:
-    """All checks of one version. A model that cannot score the table fails the slice test too."""
+    """All checks of one version. A model that cannot score the table fails the slice test too.
+
+    The table is scored once: rows, predictions and right predictions per slice are counted and
+    stored, and both the predictions and the slices are judged from that.
+    """
     spark = features.sparkSession
-    ok, detail = check_predicts(model, features)
+    names = [c.strip() for c in slice_cols.split(",")] if isinstance(slice_cols, str) else list(slice_cols or [])
+    try:
+        require(features, [label, *names])
+        counted = score(model, features, "_prediction").groupBy(*map(quoted, names)).agg(
+            F.count(F.lit(1)).alias("obs"),
+            F.count("_prediction").alias("_scored"),
+            count_if(F.col(quoted(label)) == F.col("_prediction")).alias("acc"),
+        )
+        slices = materialize(counted.withColumn("pct_acc", ratio(F.col("acc"), F.col("obs"))), "slices")
+        row = slices.agg(F.coalesce(F.sum("obs"), F.lit(0)).alias("rows"), F.coalesce(F.sum("_scored"), F.lit(0)).alias("scored")).first()
+        ok, detail = row["rows"] == row["scored"], f"{row['scored']} of {row['rows']} rows scored"
+    except (PySparkException, Py4JJavaError, ValueError) as error:
+        ok, detail, slices = False, str(error), None
     predicts = spark.createDataFrame([(version, "predicts", "1" if ok else "0", detail)], CHECK_SCHEMA)
     if ok:
-        slices = slice_check(
-            version, score(model, features), slice_cols, label, threshold=threshold, mode=mode, min_obs=min_obs
+        wanted = slices.where(F.col("obs") >= min_obs) if names else None
+        gate = slice_gate(wanted, threshold, mode, spark)
+        judged = gate.select(
+            *check_row(version, "slice_test", F.col("result"), F.concat(F.col("n_slices").cast("string"), F.lit(" slices")))
         )
     else:
-        slices = spark.createDataFrame([(version, "slice_test", "fail", "no predictions")], CHECK_SCHEMA)
+        judged = spark.createDataFrame([(version, "slice_test", "fail", "no predictions")], CHECK_SCHEMA)
     parts = [
         signature_check(version, features, schema),
         predicts,
-        slices,
+        judged,
         description_check(spark, version, description),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import known, quoted, require, type_of
+from riskflow.operators.encoding import long_values
 from riskflow.operators.profiling import quantiles, quantiles_of, type_is_numeric, value_frequencies
 from riskflow.plans.lookup import lookup_join
 from riskflow.plans.shared import materialize
@@ -31,9 +32,9 @@ def fit_impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> di
         rows = quantiles(df, cols, [0.5]).collect()
         fills = {r["column"]: r["value"] for r in rows}
     elif strategy == "mode":
-        fills = {
-            c: _most_common(df.groupBy(known(df, c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))) for c in cols
-        }
+        long, families, order = long_values(df, cols)
+        counts = long.groupBy("column", *order).agg(F.count(F.lit(1)).alias("n"))
+        fills = _modes(counts, cols, families)
     else:
         raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
     _need_fills(cols, fills)
@@ -52,11 +53,18 @@ def _need_fills(cols: Sequence[str], fills: Mapping[str, object]) -> None:
         raise ValueError(f"no value to impute from in {', '.join(empty)}")
 
 
-def _most_common(counts: DataFrame):
-    """Value with the most rows of (_v, _n), the smallest one on a tie."""
+def _mode_of(column: str, family: str) -> Column:
+    """Value of a column with the most rows among (column, value, n), the smallest one on a tie."""
+    value = F.col(family)
     # smallest (-n, value): most rows, then the smallest value
-    smallest = F.min(F.struct((-F.col("_n")).alias("_n"), "_v"))["_v"]
-    return counts.where(F.col("_v").isNotNull()).agg(smallest).first()[0]
+    counted = F.struct((-F.col("n")).alias("n"), value.alias("value"))
+    return F.min(F.when((F.col("column") == column) & value.isNotNull(), counted))["value"]
+
+
+def _modes(counts: DataFrame, cols: Sequence[str], families: Mapping[str, str]) -> dict[str, object]:
+    """Most common value of each column, all from one aggregate."""
+    row = counts.agg(*[_mode_of(c, families[c]).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[f"_{i}"] for i, c in enumerate(cols)}
 
 
 def apply_impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
@@ -118,14 +126,13 @@ def _fit_by_group(df: DataFrame, cols: list[str], strategy: str, by: list[str])
         found = quantiles_of(overall, [0.5]).collect()  # one row per column
         fills = {r["column"]: r["value"] for r in found}
     elif strategy == "mode":
-        stats, fills = None, {}
-        for c in cols:
-            counted = df.groupBy(*by, known(df, c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-            stored = materialize(counted, "frequencies")
-            most = F.min(F.when(F.col("_v").isNotNull(), F.struct((-F.col("_n")).alias("_n"), "_v")))["_v"]
-            one = stored.groupBy(*by).agg(F.sum("_n").alias("_group_rows"), most.alias(f"_fill_{c}"))
-            stats = one if stats is None else stats.join(one.drop("_group_rows"), by, "left")
-            fills[c] = _most_common(stored.groupBy("_v").agg(F.sum("_n").alias("_n")))
+        long, families, order = long_values(df, cols, missing=True, keep=by)
+        counted = long.groupBy(*by, "column", *order).agg(F.count(F.lit(1)).alias("n"))
+        stored = materialize(counted, "frequencies")
+        rows = F.sum(F.when(F.col("column") == cols[0], F.col("n"))).alias("_group_rows")
+        stats = stored.groupBy(*by).agg(rows, *[_mode_of(c, families[c]).cast(type_of(df, c)).alias(f"_fill_{c}") for c in cols])
+        overall = stored.groupBy("column", *order).agg(F.sum("n").alias("n"))
+        fills = _modes(overall, cols, families)
     else:
         raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
     _need_fills(cols, fills)

@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.functions.columns import quoted, require
-from riskflow.operators.encoding import fit_label_encoder, unknown_name
+from riskflow.operators.encoding import LabelDomain, few_values, fit_label_encoder, unknown_name
+from riskflow.plans.lookup import Lookup, TableSize, lookup_many
+from riskflow.plans.shared import new_path
 
 
 class ColumnSelector(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -46,9 +51,10 @@ def _number(name: str) -> Column:
 
 
 class FeatureVector(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Joins array columns into one vector column, in the order given.
+    """Joins array columns, and sparse vectors among them, into one vector column, in the order given.
 
-    One conversion per row; vectors per part would be converted and then copied again.
+    Arrays are converted once per row, together; vectors per part would be converted and then
+    copied again. With a sparse vector among the parts the result is sparse where that is smaller.
     """
 
     @keyword_only
@@ -57,9 +63,24 @@ class FeatureVector(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadab
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        parts = self.getInputCols()
-        slots = F.concat(*parts) if len(parts) > 1 else F.col(parts[0])
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(slots))
+        runs: list[list[str]] = []  # neighbouring arrays, or one vector
+        kinds: list[bool] = []
+        for part in self.getInputCols():
+            is_array = isinstance(dataset.schema[part].dataType, T.ArrayType)
+            if is_array and kinds and kinds[-1]:
+                runs[-1].append(part)
+            else:
+                runs.append([part])
+                kinds.append(is_array)
+        vectors = [
+            array_to_vector(F.concat(*run) if len(run) > 1 else F.col(run[0])) if is_array else F.col(run[0])
+            for run, is_array in zip(runs, kinds)
+        ]
+        if len(vectors) == 1:
+            return dataset.withColumn(self.getOutputCol(), vectors[0])
+        names = [f"_part{i}" for i in range(len(vectors))]
+        parts = dataset.withColumns(dict(zip(names, vectors)))
+        return VectorAssembler(inputCols=names, outputCol=self.getOutputCol()).transform(parts).drop(*names)
 
 
 class NumericFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -71,12 +92,18 @@ class NumericFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadab
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> NumericFeaturesModel:
-        names = self.getInputCols()
+        return self.model_of(dataset.agg(*self.aggregates()).first())
+
+    def aggregates(self) -> list[Column]:
+        """What model_of() reads from one row over the data."""
         aggs = [F.count(F.lit(1)).alias("rows")]
-        for i, c in enumerate(names):
+        for i, c in enumerate(self.getInputCols()):
             x = _number(c)
             aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-        row = dataset.agg(*aggs).first()
+        return aggs
+
+    def model_of(self, row: Row) -> NumericFeaturesModel:
+        names = self.getInputCols()
         empty = [c for i, c in enumerate(names) if not row[f"n{i}"]]
         if empty:
             raise ValueError(f"no number to impute from in {', '.join(empty)}")
@@ -106,10 +133,16 @@ class NumericFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, Default
 
 
 class OneHotFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """One slot per value; ``drop`` leaves out the first value, ``indicator`` adds a slot for unknown ones."""
+    """One slot per value; ``drop`` leaves out the first value, ``indicator`` adds a slot for unknown ones.
+
+    Up to ``maxDense`` values of all columns together, the model keeps them and gives an array of
+    0 and 1. Beyond, the values stay a stored table: the model knows only how many there
+    are, a row's slot comes from a join with that table, and the output is a sparse vector.
+    """
 
     drop = Param(Params._dummy(), "drop", "first, or empty to keep all", TypeConverters.toString)
     unknown = Param(Params._dummy(), "unknown", "indicator or ignore", TypeConverters.toString)
+    maxDense = Param(Params._dummy(), "maxDense", "values up to which the output is an array", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
@@ -118,19 +151,55 @@ class OneHotFeatures(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadabl
         outputCol: str | None = None,
         drop: str = "",
         unknown: str = "indicator",
+        maxDense: int = 8192,
     ) -> None:
         super().__init__()
-        self._setDefault(drop="", unknown="indicator")
+        self._setDefault(drop="", unknown="indicator", maxDense=8192)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> OneHotFeaturesModel:
         names = self.getInputCols()
-        texts = fit_label_encoder(dataset, names).texts(names)
+        require(dataset, names)
+        texts = few_values(dataset, names, self.getOrDefault(self.maxDense))
+        return self.model_of(dataset, texts)
+
+    def model_of(self, dataset: DataFrame, texts: Mapping[str, Sequence[str]] | None) -> OneHotFeaturesModel:
+        """The model of values that few_values() has found already; None if they are too many."""
+        names = self.getInputCols()
         first = 1 if self.getOrDefault(self.drop) == "first" else 0
         types = {c: dataset.schema[c].dataType.simpleString() for c in names}
-        slots = [{"values": texts[c], "shown": texts[c][first:], "type": types[c]} for c in names]
+        state = {"unknown": self.getOrDefault(self.unknown)}
+        if texts is None:
+            domain = fit_label_encoder(dataset, names)
+            path = new_path(dataset.sparkSession, "domain")
+            domain.table.write.parquet(f"{path}/values")
+            columns = [
+                {"family": domain.families[c], "type": types[c], "size": [domain.sizes[c].rows, domain.sizes[c].bytes, domain.sizes[c].weight]}
+                for c in names
+            ]
+            state["wide"] = {"path": path, "first": first, "columns": columns}
+        else:
+            state["slots"] = [{"values": texts[c], "shown": texts[c][first:], "type": types[c]} for c in names]
         model = OneHotFeaturesModel(inputCols=names, outputCol=self.getOutputCol())
-        return model._set(state=json.dumps({"slots": slots, "unknown": self.getOrDefault(self.unknown)}))
+        return model._set(state=json.dumps(state))
+
+
+class _WithDomainWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        domain = self.instance.domain()
+        if domain is not None:
+            domain.table.write.mode("overwrite").parquet(f"{path}/domain/values")
+
+
+class _WithDomainReader(DefaultParamsReader):
+    def load(self, path: str) -> OneHotFeaturesModel:
+        model = super().load(path)
+        state = model.fitted()
+        if "wide" in state:
+            state["wide"]["path"] = f"{path}/domain"
+            model._set(state=json.dumps(state))
+        return model
 
 
 class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultParamsReadable, DefaultParamsWritable):
@@ -139,8 +208,42 @@ class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultP
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def write(self) -> DefaultParamsWriter:
+        return _WithDomainWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _WithDomainReader(cls)
+
+    def domain(self) -> LabelDomain | None:
+        """The stored values of a model that has too many to keep itself."""
+        wide = self.fitted().get("wide")
+        if wide is None:
+            return None
+        table = SparkSession.active().read.parquet(f"{wide['path']}/values")
+        columns = dict(zip(self.getInputCols(), wide["columns"]))
+        return LabelDomain(
+            table,
+            {c: found["family"] for c, found in columns.items()},
+            {c: found["type"] for c, found in columns.items()},
+            {c: TableSize(*found["size"]) for c, found in columns.items()},
+        )
+
+    def _widths(self) -> list[int]:
+        """Slots of each column, the one for unknown values included."""
+        found = self.fitted()
+        extra = 1 if found["unknown"] == "indicator" else 0
+        if "wide" in found:
+            return [max(c["size"][0] - found["wide"]["first"], 0) + extra for c in found["wide"]["columns"]]
+        return [len(s["shown"]) + extra for s in found["slots"]]
+
+    def n_slots(self) -> int:
+        return sum(self._widths())
+
     def feature_names(self) -> list[str]:
         found = self.fitted()
+        if "wide" in found:
+            raise ValueError("the names of so many values are a table: see feature_table()")
         names = []
         for c, s in zip(self.getInputCols(), found["slots"]):
             names += [f"{c}_{v}" for v in s["shown"]]
@@ -148,8 +251,39 @@ class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultP
                 names.append(unknown_name(c, s["values"]))
         return names
 
+    def feature_table(self) -> DataFrame:
+        """(slot, feature) rows, slots from 0."""
+        found = self.fitted()
+        spark = SparkSession.active()
+        domain = self.domain()
+        if domain is None:
+            return spark.createDataFrame(list(enumerate(self.feature_names())), "slot bigint, feature string")
+        first, begin, parts, extra = found["wide"]["first"], 0, [], []
+        for c, width in zip(self.getInputCols(), self._widths()):
+            text = F.concat(F.lit(f"{c}_"), F.col("value").cast(domain.types[c]).cast("string"))
+            shown = domain.of(c).where(F.col("code") >= first)
+            parts.append(shown.select((F.col("code") + (begin - first)).alias("slot"), text.alias("feature")))
+            begin += width
+            if found["unknown"] == "indicator":
+                extra.append((begin - 1, self._unknown_name(c, domain)))
+        if extra:
+            parts.append(spark.createDataFrame(extra, "slot bigint, feature string"))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _unknown_name(self, column: str, domain: LabelDomain) -> str:
+        """unknown_name() without the values: only those that begin alike are looked at."""
+        text = F.col("value").cast(domain.types[column]).cast("string")
+        alike = domain.of(column).where(text.rlike("^unknown_*$")).select(F.length(text).alias("n"))
+        taken = {r["n"] for r in alike.orderBy("n").limit(1000).collect()}
+        name = "unknown"
+        while len(name) in taken:
+            name += "_"
+        return f"{column}_{name}"
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         found = self.fitted()
+        if "wide" in found:
+            return self._sparse(dataset, found)
         entries = []
         for c, slot in zip(self.getInputCols(), found["slots"]):
             value = fitted_text(dataset, c, slot["type"])
@@ -161,20 +295,47 @@ class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultP
                 entries.append(F.array(F.when(seen, F.lit(0.0)).otherwise(F.lit(1.0))))
         return dataset.withColumn(self.getOutputCol(), F.concat(*entries) if len(entries) > 1 else entries[0])
 
+    def _sparse(self, dataset: DataFrame, found: Mapping) -> DataFrame:
+        """A sparse vector with the slots of all columns."""
+        domain, first = self.domain(), found["wide"]["first"]
+        lookups, places = [], []
+        for i, (c, width) in enumerate(zip(self.getInputCols(), self._widths())):
+            value = fitted_value(dataset, c, domain.types[c])
+            family = domain.table.schema[domain.families[c]].dataType
+            lookups.append(Lookup(f"_code{i}", value.cast(family), domain.of(c), "value", "code", "n", domain.sizes[c]))
+            shown = width - 1 if found["unknown"] == "indicator" else width
+            unknown = F.lit(shown) if found["unknown"] == "indicator" else F.lit(width)
+            code = F.col(f"_code{i}")
+            # a slot at or past the width stands for no slot at all
+            place = F.when(code.isNull(), unknown).when(code < first, F.lit(width)).otherwise(code - first)
+            if width:
+                places.append((f"_slot{i}", place.cast("double"), width))
+        coded = lookup_many(dataset, lookups).withColumns({name: place for name, place, _ in places})
+        slots, vectors = [name for name, _, _ in places], [f"_vector_{name}" for name, _, _ in places]
+        # fitted on one row that holds the last slot of each column, so that it knows their number
+        last = dataset.sparkSession.createDataFrame([tuple(float(w - 1) for _, _, w in places)], slots)
+        encoder = OneHotEncoder(inputCols=slots, outputCols=vectors, handleInvalid="keep", dropLast=True).fit(last)
+        joined = VectorAssembler(inputCols=vectors, outputCol=self.getOutputCol()).transform(encoder.transform(coded))
+        return joined.select(*[quoted(c) for c in dataset.columns], self.getOutputCol())
+
 
 def _equals(value: Column):
     """1.0 where an element equals the value, which may be null."""
     return lambda element: F.coalesce((element == value).cast("double"), F.lit(0.0))
 
 
-def fitted_text(dataset: DataFrame, column: str, kind: str) -> Column:
-    """A value as the text the fit saw: in the fitted type, if it survives the way there and back."""
+def fitted_value(dataset: DataFrame, column: str, kind: str) -> Column:
+    """A value in the type the fit saw, if it survives the way there and back; NaN counts as missing."""
     value = F.col(quoted(column))
     now = dataset.schema[column].dataType.simpleString()
     if now != kind:
         there = value.try_cast(kind)
         value = F.when(there.try_cast(now) == value, there) if now != "string" else there
     if kind in ("float", "double"):
-        value = value + F.lit(0.0).cast(kind)
-    return value.cast("string")
+        value = F.when(~F.isnan(value), value + F.lit(0.0).cast(kind))
+    return value
 
+
+def fitted_text(dataset: DataFrame, column: str, kind: str) -> Column:
+    """fitted_value() as text."""
+    return fitted_value(dataset, column, kind).cast("string")

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.columns import quoted, require
+from riskflow.operators.encoding import few_values
 from riskflow.operators.evaluation import evaluate, prefixed
-from riskflow.operators.splitting import with_class_weight, with_split
+from riskflow.operators.splitting import with_split
 from riskflow.operators.stages import (
     ColumnSelector,
     FeatureVector,
@@ -33,6 +36,8 @@ from riskflow.plans.shared import materialize
 # fixed values: the regularisation constant and the seed of the reference trial
 DEFAULT_C = 0.17557554126131178
 DEFAULT_SEED = 62545389
+#: One-hot values of a stage beyond which its features are sparse vectors.
+MAX_DENSE = 256
 
 
 @dataclass(frozen=True)
@@ -52,13 +57,19 @@ def preprocess_stages(spec: FeatureSpec, out: str = "features") -> list:
     stages: list = [ColumnSelector(inputCols=spec.columns())]
     parts = []
     if spec.binary:
-        stages.append(OneHotFeatures(inputCols=list(spec.binary), outputCol="_binary", drop="first", unknown="ignore"))
+        binary = OneHotFeatures(
+            inputCols=list(spec.binary), outputCol="_binary", drop="first", unknown="ignore", maxDense=MAX_DENSE
+        )
+        stages.append(binary)
         parts.append("_binary")
     if spec.numeric:
         stages.append(NumericFeatures(inputCols=list(spec.numeric), outputCol="_numeric"))
         parts.append("_numeric")
     if spec.one_hot:
-        stages.append(OneHotFeatures(inputCols=list(spec.one_hot), outputCol="_one_hot", unknown="indicator"))
+        one_hot = OneHotFeatures(
+            inputCols=list(spec.one_hot), outputCol="_one_hot", unknown="indicator", maxDense=MAX_DENSE
+        )
+        stages.append(one_hot)
         parts.append("_one_hot")
     if not parts:
         raise ValueError("no feature columns given")
@@ -124,6 +135,85 @@ def build_pipeline(spec: FeatureSpec, classifier) -> Pipeline:
     return Pipeline(stages=[*preprocess_stages(spec), classifier])
 
 
+@dataclass
+class Preparation:
+    """Fitted stages, the weight of a row as an expression, and the sum of the weights."""
+
+    stages: list
+    weight: Column
+    weight_sum: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return PipelineModel(stages=self.stages).transform(df)
+
+
+def prepare(
+    df: DataFrame, spec: FeatureSpec, label: str | None = None, weight: str | None = None, balance: bool = False
+) -> Preparation:
+    """Fit the stages before the classifier by two jobs, as long as no column has too many values.
+
+    One finds the values of all one-hot columns; the other, one row per class, has the numbers'
+    statistics, the class counts and the sum of the weights. ``balance`` weighs rows so that every
+    class of ``label`` has the same total; rows without a label then weigh nothing.
+    """
+    stages = preprocess_stages(spec)
+    one_hots = [s for s in stages if isinstance(s, OneHotFeatures)]
+    names = list(dict.fromkeys(c for s in one_hots for c in s.getInputCols()))
+    require(df, spec.columns())
+    texts = few_values(df, names, MAX_DENSE * len(one_hots)) if names else {}
+    numbers = next((s for s in stages if isinstance(s, NumericFeatures)), None)
+    known_weight = F.lit(1.0) if balance or not weight else F.col(quoted(weight)).cast("double")
+    aggs = numbers.aggregates() if numbers else [F.count(F.lit(1)).alias("rows")]
+    grouped = df.groupBy(F.col(quoted(label)).alias("_class")) if balance else df.groupBy()
+    rows = grouped.agg(*aggs, F.sum(known_weight).alias("_weight")).collect()
+    if not sum(r["rows"] for r in rows):
+        raise ValueError("no rows to train on")
+    row_weight, weight_sum = known_weight, sum(r["_weight"] or 0.0 for r in rows)
+    if balance:
+        classes = [r for r in rows if r["_class"] is not None]
+        weight_sum = float(sum(r["rows"] for r in classes))
+        row_weight = F.lit(0.0)
+        for r in classes:
+            share = F.lit(weight_sum / (len(classes) * r["rows"]))
+            row_weight = F.when(F.col(quoted(label)) == F.lit(r["_class"]), share).otherwise(row_weight)
+    fitted = []
+    for stage in stages:
+        if stage is numbers:
+            fitted.append(stage.model_of(_merged(rows, len(stage.getInputCols()))))
+        elif isinstance(stage, OneHotFeatures):
+            own = None if texts is None else {c: texts[c] for c in stage.getInputCols()}
+            if own is None:
+                own = few_values(df, stage.getInputCols(), MAX_DENSE)
+            elif sum(map(len, own.values())) > MAX_DENSE:
+                own = None
+            fitted.append(stage.model_of(df, own))
+        else:
+            fitted.append(stage)
+    return Preparation(fitted, row_weight, weight_sum)
+
+
+def _merged(rows: Sequence[Row], n_columns: int) -> dict[str, float]:
+    """Counts, means and population variances of all groups together."""
+    out: dict[str, float] = {"rows": sum(r["rows"] for r in rows)}
+    for i in range(n_columns):
+        parts = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in rows if r[f"n{i}"]]
+        n = sum(p[0] for p in parts)
+        mean = sum(k * m for k, m, _ in parts) / n if n else None
+        spread = sum(k * (v + (m - mean) ** 2) for k, m, v in parts) / n if n else None
+        out |= {f"n{i}": n, f"m{i}": mean, f"v{i}": spread}
+    return out
+
+
+def _fit(df: DataFrame, spec: FeatureSpec, label: str, classifier: Callable, weight: str | None, balance: bool) -> PipelineModel:
+    """Stages and classifier; the prepared features are stored once, and all the optimiser reads."""
+    found = prepare(df, spec, label, weight, balance)
+    weighted = found.transform(df.withColumn("_weight", found.weight))
+    if balance:
+        weighted = weighted.where(F.col(quoted(label)).isNotNull())
+    stored = materialize(weighted.select(F.col(quoted(label)).alias(label), "_weight", "features"), "prepared")
+    return PipelineModel(stages=[*found.stages, classifier(found.weight_sum).fit(stored)])
+
+
 def fit_pipeline(
     df: DataFrame,
     spec: FeatureSpec,
@@ -131,10 +221,15 @@ def fit_pipeline(
     weight: str | None = None,
     C: float = DEFAULT_C,
     penalty: str = "l1",
+    balance: bool = False,
 ) -> PipelineModel:
-    """Selector, preparation and classifier as one model."""
-    classifier = logistic(total_weight(df, weight), C, penalty, label=label, weight=weight)
-    return build_pipeline(spec, classifier).fit(df)
+    """Selector, preparation and classifier as one model, by three scans of ``df``.
+
+    ``balance`` gives every class the same total weight, without a weight column.
+    """
+    return _fit(
+        df, spec, label, lambda total: logistic(total, C, penalty, label=label, weight="_weight"), weight, balance
+    )
 
 
 def feature_names(model: PipelineModel) -> list[str]:
@@ -147,11 +242,31 @@ def feature_names(model: PipelineModel) -> list[str]:
 
 
 def coefficient_table(model: PipelineModel) -> DataFrame:
-    """(feature, coefficient) rows of a fitted logistic model, the intercept included."""
+    """(feature, coefficient) rows of a fitted logistic model, the intercept included.
+
+    The coefficients are on the driver anyway; names of values kept as a table join them there.
+    """
+    spark = SparkSession.active()
     fitted = model.stages[-1]
-    rows = [(n, float(c)) for n, c in zip(feature_names(model), fitted.coefficients.toArray())]
-    rows.append(("(intercept)", float(fitted.intercept)))
-    return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
+    stages = [s for s in model.stages if isinstance(s, (NumericFeaturesModel, OneHotFeaturesModel))]
+    intercept = [("(intercept)", float(fitted.intercept))]
+    if not any(isinstance(s, OneHotFeaturesModel) and s.domain() is not None for s in stages):
+        rows = [(n, float(c)) for n, c in zip(feature_names(model), fitted.coefficients.toArray())]
+        return spark.createDataFrame(rows + intercept, "feature string, coefficient double")
+    names, begin = [], 0
+    for stage in stages:
+        if isinstance(stage, OneHotFeaturesModel):
+            table, width = stage.feature_table(), stage.n_slots()
+        else:
+            width = len(stage.feature_names())
+            table = spark.createDataFrame(list(enumerate(stage.feature_names())), "slot bigint, feature string")
+        names.append(table.withColumn("slot", F.col("slot") + begin))
+        begin += width
+    values = pa.table({"slot": pa.array(range(begin), pa.int64()), "coefficient": pa.array(fitted.coefficients.toArray())})
+    named = reduce(DataFrame.unionByName, names).join(spark.createDataFrame(values), "slot")
+    return named.select("feature", "coefficient").unionByName(
+        spark.createDataFrame(intercept, "feature string, coefficient double")
+    )
 
 
 # --- model search ------------------------------------------------------------
@@ -233,13 +348,14 @@ def search(
     labelled = df.where(F.col(quoted(label)).isNotNull())
     labelled = labelled.withColumn(label, F.col(quoted(label)).cast("double"))
     parts = with_split(labelled, key, seed, stratify=label if stratify else None)
-    train_rows = with_class_weight(parts.where(F.col("split") == "train"), label, "weight")
-    preparation = Pipeline(stages=preprocess_stages(spec)).fit(train_rows)
-    weighted = train_rows.unionByName(parts.where(F.col("split") != "train").withColumn("weight", F.lit(1.0)))
+    in_train = F.col("split") == "train"
+    preparation = prepare(parts.where(in_train), spec, label, balance=True)
+    # only training rows weigh other than 1
+    weighted = parts.withColumn("weight", F.when(in_train, preparation.weight).otherwise(F.lit(1.0)))
     # stored, not cached: all trials read it, and it outlives the executors
     prepared = materialize(preparation.transform(weighted).select(label, "split", "weight", "features"), "prepared")
     train = prepared.where(F.col("split") == "train")
-    weight_sum = total_weight(train, "weight")
+    weight_sum = preparation.weight_sum
     start = time.monotonic()
 
     def run(index: int, trial: Mapping[str, object]):
@@ -277,10 +393,10 @@ def search(
     best, fitted = min(finished, key=lambda o: (-o[0]["val_f1"], o[0]["run_id"]))
     model = PipelineModel(stages=[*preparation.stages, fitted])
     if refit:
-        everything = with_class_weight(labelled, label, "weight")
         settings = {"family": best["family"], **json.loads(best["params"])}
-        again = _classifier(settings, total_weight(everything, "weight"), label, "weight", seed)
-        model = build_pipeline(spec, again).fit(everything)
+        model = _fit(
+            labelled, spec, label, lambda total: _classifier(settings, total, label, "_weight", seed), None, balance=True
+        )
     return SearchResult(trials, model, best, metrics)
 
 

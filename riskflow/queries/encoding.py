@@ -247,3 +247,21 @@ def one_hot_widened(spark, sf_dir):
     wide = model.transform(lines.withColumn("v", F.col("v").cast("double")))
     name = F.element_at(names, F.array_position("f", 1.0).cast("int"))
     return wide.select("l_orderkey", "l_linenumber", F.regexp_extract(name, "v_(.*)", 1).try_cast("bigint").alias("slot"))
+
+
+_PAIR = "l_partkey || '-' || l_suppkey || '-' || l_quantity::INT"
+
+
+@query(
+    "one_hot_many_values",
+    f"""SELECT l_orderkey, l_linenumber, (dense_rank() OVER (ORDER BY {_PAIR}) - 1)::BIGINT AS slot,
+               (SELECT count(DISTINCT {_PAIR}) + 1 FROM lineitem)::BIGINT AS width FROM lineitem""",
+)
+def one_hot_many_values(spark, sf_dir):
+    """About as many values as rows: sparse vectors, slots from a join, no value on the driver."""
+    pair = F.concat_ws("-", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", pair.alias("pair"))
+    coded = stages.OneHotFeatures(inputCols=["pair"], outputCol="f", maxDense=256).fit(lines).transform(lines)
+    # a vector's own form: its width and the places of its values
+    vector = F.from_json(F.to_json(F.struct("f")), "f struct<size: bigint, indices: array<bigint>>").getField("f")
+    return coded.select("l_orderkey", "l_linenumber", vector["indices"][0].alias("slot"), vector["size"].alias("width"))

@@ -56,6 +56,21 @@ def confusion(spark, sf_dir):
     return evaluation.confusion(lines(spark, sf_dir), "label", "prediction")
 
 
+@query(
+    "confusion_any_label",
+    """SELECT label, prediction, count(*) AS n FROM (
+         SELECT l_discount AS label, round(l_quantity / 50, 1) AS prediction FROM lineitem)
+       GROUP BY label, prediction
+       UNION ALL SELECT l.v, p.v, 0 FROM (VALUES (0.5::DOUBLE), (1.9::DOUBLE)) l(v), (VALUES (0.5::DOUBLE), (1.9::DOUBLE)) p(v)""",
+)
+def confusion_any_label(spark, sf_dir):
+    """Fractional labels stay apart, classes that do not occur are there with 0."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_discount").alias("label"), F.round(F.col("l_quantity") / 50, 1).alias("prediction")
+    )
+    return evaluation.confusion(rows, "label", "prediction", classes=(0.5, 1.9))
+
+
 def _metrics_sql(rows: str, by: str) -> str:
     return f"""WITH c AS (
       SELECT {by}, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,

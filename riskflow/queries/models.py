@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskflow import workflow
 from riskflow.operators import cleaning, evaluation, explaining, gate, runlog, scoring, splitting, training
+from riskflow.operators import tags as tag_store
 from riskflow.plans.shared import new_path
 from riskflow.queries.evaluation import scored
-from riskflow.queries.registry import incidents, query, table
+from riskflow.queries.registry import incidents, query, rounded, table
+from riskflow.queries.splitting import split_sql
 from riskflow.queries.tables import ORDER_SCHEMA
 from riskflow.streaming.scoring import read_arriving, score_stream
 
@@ -23,22 +26,19 @@ def labelled(spark, sf_dir):
 
 def _orders_model(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("label", (F.col("o_orderstatus") == "F").cast("double"))
-    weighted = splitting.with_class_weight(orders, "label")
-    return training.fit_pipeline(weighted, ORDER_SPEC, weight="weight", C=1.0), orders
+    return training.fit_pipeline(orders, ORDER_SPEC, C=1.0, balance=True), orders
 
 
 def _incident_model(spark, sf_dir):
     rows = splitting.with_split(labelled(spark, sf_dir), "doc_id")
-    train = splitting.with_class_weight(rows.where(F.col("split") == "train"), "label")
-    return training.fit_pipeline(train, SPEC, weight="weight", C=1.0), rows
+    return training.fit_pipeline(rows.where(F.col("split") == "train"), SPEC, C=1.0, balance=True), rows
 
 
 @query("train_logistic")
 def train_logistic(spark, sf_dir):
     """Weighted L1 logistic regression over all lines: returned or not."""
     lineitem = table(spark, sf_dir, "lineitem").withColumn("label", (F.col("l_returnflag") == "R").cast("double"))
-    weighted = splitting.with_class_weight(lineitem, "label")
-    model = training.fit_pipeline(weighted, LINE_SPEC, weight="weight")
+    model = training.fit_pipeline(lineitem, LINE_SPEC, balance=True)
     return training.coefficient_table(model)
 
 
@@ -64,8 +64,7 @@ def _binary_model(spark, sf_dir):
         }
     )
     spec = training.FeatureSpec(binary=["urgent"])
-    weighted = splitting.with_class_weight(orders, "label")
-    return training.fit_pipeline(weighted, spec, weight="weight", C=1.0), orders
+    return training.fit_pipeline(orders, spec, C=1.0, balance=True), orders
 
 
 @query(
@@ -184,3 +183,77 @@ def stream_score(spark, sf_dir):
     sink, checkpoint = new_path(spark, "scored"), new_path(spark, "progress")
     score_stream(model, rows, sink, checkpoint).awaitTermination()
     return spark.read.parquet(sink)
+
+
+@query("stream_score_binary", f"SELECT o_orderkey, prediction FROM {_BINARY_PREDICTION}")
+def stream_score_binary(spark, sf_dir):
+    """The stream's predictions against the closed form of the optimum."""
+    model, _ = _binary_model(spark, sf_dir)
+    arriving = read_arriving(spark, f"{sf_dir}/orders.parque[t]", ORDER_SCHEMA)
+    rows = arriving.withColumn("urgent", (F.col("o_orderpriority") <= "2-HIGH").cast("int"))
+    sink, checkpoint = new_path(spark, "scored"), new_path(spark, "progress")
+    score_stream(model, rows, sink, checkpoint).awaitTermination()
+    return spark.read.parquet(sink).select("o_orderkey", "prediction")
+
+
+# The search over two penalties of a one-feature model whose label is the feature for seven of ten
+# rows: no penalty cancels the slope.
+_SEARCHED = f"""
+  a AS (SELECT o_orderkey, (o_orderpriority <= '2-HIGH')::INT AS x,
+               ((o_orderpriority <= '2-HIGH') <> (o_orderkey % 10 < 3))::INT AS y, {split_sql('o_orderkey')} AS split FROM orders),
+  n AS (SELECT count(*)::DOUBLE AS n, sum(y)::DOUBLE AS pos FROM a WHERE split = 'train'),
+  w AS (SELECT a.*, CASE WHEN split <> 'train' THEN 1.0::DOUBLE WHEN y = 1 THEN n / (2 * pos) ELSE n / (2 * (n - pos)) END AS w FROM a, n),
+  g AS (SELECT sum(w) FILTER (x = 1) AS w1, sum(w) FILTER (x = 0) AS w0, coalesce(sum(w) FILTER (x = 1 AND y = 1), 0) AS y1,
+               coalesce(sum(w) FILTER (x = 0 AND y = 1), 0) AS y0 FROM w WHERE split = 'train'),
+  c AS (SELECT * FROM (VALUES ('trial-000', 1.0::DOUBLE), ('trial-001', 0.1::DOUBLE)) c(run_id, c)),
+  s AS (SELECT run_id, c, g.*, CASE WHEN (y1 - 1 / c) / w1 > (y0 + 1 / c) / w0 THEN 1 WHEN (y1 + 1 / c) / w1 < (y0 - 1 / c) / w0 THEN -1 ELSE 0 END AS sign FROM g, c),
+  p AS (SELECT run_id, CASE WHEN sign = 0 THEN (y1 + y0) / (w1 + w0) ELSE (y1 - sign / c) / w1 END AS p1,
+               CASE WHEN sign = 0 THEN (y1 + y0) / (w1 + w0) ELSE (y0 + sign / c) / w0 END AS p0 FROM s),
+  f AS (SELECT run_id, split, coalesce(2 * sum(w) FILTER (y = 1 AND hit) / nullif(2 * sum(w) FILTER (y = 1 AND hit)
+               + sum(w) FILTER (y <> hit::INT), 0), 0) AS f1
+        FROM (SELECT run_id, w.*, CASE WHEN x = 1 THEN p1 ELSE p0 END > 0.5 AS hit FROM w, p) GROUP BY run_id, split)"""
+
+
+@query(
+    "model_search_binary",
+    f"""WITH {_SEARCHED} SELECT run_id, 'logistic' AS family, 'FINISHED' AS status,
+        round(coalesce(max(f1) FILTER (split = 'train'), 0), 6) AS train_f1, round(coalesce(max(f1) FILTER (split = 'val'), 0), 6) AS val_f1,
+        round(coalesce(max(f1) FILTER (split = 'test'), 0), 6) AS test_f1 FROM f GROUP BY run_id""",
+)
+def model_search_binary(spark, sf_dir):
+    """A search whose trials have a closed form."""
+    urgent = F.col("o_orderpriority") <= "2-HIGH"
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {"urgent": urgent.cast("int"), "label": (urgent != (F.col("o_orderkey") % 10 < 3)).cast("double")}
+    )
+    grid = [{"family": "logistic", "C": c, "penalty": "l1"} for c in (1.0, 0.1)]
+    found = training.search(orders, "label", training.FeatureSpec(binary=["urgent"]), "o_orderkey", grid)
+    return rounded(found.trials.select("run_id", "family", "status", "train_f1", "val_f1", "test_f1"), 6, "train_f1", "val_f1", "test_f1")
+
+
+_SLICED = f"""(SELECT o_orderpriority, count(*) FILTER (WHERE y = prediction) / count(*) AS a
+               FROM {_BINARY_PREDICTION} JOIN orders USING (o_orderkey) GROUP BY 1)"""
+
+
+@query(
+    "gate_roundtrip",
+    f"""WITH t AS (SELECT CASE WHEN min(a) >= 0.55 THEN 'pass' ELSE 'fail' END AS slice_test FROM {_SLICED})
+        SELECT 'v1' AS version, '1' AS has_description, '1' AS has_signature, '1' AS predicts, slice_test,
+               CASE WHEN slice_test = 'pass' THEN 'accept' ELSE 'reject' END AS decision,
+               (CASE WHEN slice_test = 'pass' THEN 0 ELSE 1 END)::VARCHAR AS n_failed FROM t
+        UNION ALL SELECT 'v2', '0', '1', '1', 'none', 'reject', '1' FROM t""",
+)
+def gate_roundtrip(spark, sf_dir):
+    """Tags say how a version is checked, checks and decision become tags; the second version has no slices."""
+    model, rows = _binary_model(spark, sf_dir)
+    features, path, tags = new_path(spark, "features"), new_path(spark, "model"), new_path(spark, "tags")
+    rows.write.parquet(features)
+    scoring.save_model(model, scoring.signature(rows, ["urgent"]), path)
+    tag_store.set_tags(spark, tags, "v1", {"slice_cols": "o_orderstatus", "description": "Is an order finished?"})
+    tag_store.set_tags(spark, tags, "v1", {"slice_cols": "o_orderpriority"})  # the newer one holds
+    tag_store.set_tags(spark, tags, "v2", {"slice_cols": "o_orderstatus", "description": "short"})
+    tag_store.set_tags(spark, tags, "v2", {"slice_cols": None})
+    plan = workflow.RiskTable(key="o_orderkey", label="label")
+    for version in ("v1", "v2"):
+        workflow.validate(spark, version, features, path, None, plan, tags=tags)
+    return tag_store.tags_wide(tag_store.read_tags(spark, tags), [*gate.CHECKS, "decision", "n_failed"])

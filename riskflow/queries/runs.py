@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timezone
+
 from pyspark.sql import functions as F
 
 from riskflow.operators import runlog
@@ -74,3 +76,35 @@ def mixed_metric_log(spark, sf_dir):
     runlog.log_run(spark, path, "whole", {"metric": row["n"]})
     runlog.log_run(spark, path, "share", {"metric": row["s"]})
     return runlog.read_log(spark, path).select("name", "metric")
+
+
+@query(
+    "mixed_type_log",
+    """SELECT 'any' AS name, CASE WHEN count(*) > 0 THEN 'true' ELSE 'false' END AS metric, NULL::DOUBLE AS share FROM events
+       UNION ALL SELECT 'count', (count(*) * 1.0::DOUBLE)::VARCHAR, 1.0::DOUBLE FROM events
+       UNION ALL SELECT 'kind', min(event_type), round(avg((value > 50)::INT), 6) FROM events""",
+)
+def mixed_type_log(spark, sf_dir):
+    """A metric that is a truth value, a number and a text; another that is a truth value and a number."""
+    row = table(spark, sf_dir, "events").agg(
+        F.count("*").alias("n"), F.min("event_type").alias("kind"), F.round(F.avg((F.col("value") > 50).cast("int")), 6).alias("share")
+    ).first()
+    path = new_path(spark, "runs")
+    runlog.log_run(spark, path, "any", {"metric": row["n"] > 0})
+    runlog.log_run(spark, path, "count", {"metric": row["n"], "share": True})
+    runlog.log_run(spark, path, "kind", {"metric": row["kind"], "share": row["share"]})
+    return runlog.read_log(spark, path).select("name", "metric", "share")
+
+
+@query(
+    "logged_moment",
+    "SELECT event_type AS name, max(ts) AS date, count(*) AS n FROM events GROUP BY event_type",
+)
+def logged_moment(spark, sf_dir):
+    """The time stamp of a run, as logged: here of the newest event of each kind."""
+    newest = table(spark, sf_dir, "events").groupBy("event_type").agg(F.max("ts").alias("ts"), F.count("*").alias("n"))
+    path = new_path(spark, "runs")
+    for row in newest.collect():  # five kinds
+        runlog.log_run(spark, path, row["event_type"], {"n": row["n"]}, row["ts"].replace(tzinfo=timezone.utc))
+    log = runlog.read_log(spark, path)
+    return log.select("name", F.col("date").cast("timestamp_ntz").alias("date"), F.col("n").cast("bigint").alias("n"))

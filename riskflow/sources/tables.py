@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.columns import count_if, quoted, require
 from riskflow.plans.shared import file_system
+from riskflow.sources import schemas
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -55,13 +59,66 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
-    """Append rows; columns that are new to the folder read as null in older rows."""
+    """Append rows; columns that are new to the folder read as null in older rows, types may differ."""
     df.write.mode("append").parquet(path)
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a folder whose files differ in their columns."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All rows of a folder whose files differ in their columns, or in the types of columns.
+
+    Types that differ become the widest of them, see ``schemas.widest``; text where nothing else
+    fits. Spark merges schemas that agree in their types by a distributed job. Only where they do
+    not are the files grouped by what can be merged, and the groups cast and united.
+    """
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if not _is_conflict(error):
+            raise
+    groups = _mergeable(spark, path, data_files(spark, path))
+    target = reduce(schemas.merge, [schema for _, schema in groups])
+    parts = [
+        schemas.conform(spark.read.schema(schema).option("basePath", path).parquet(*files), target)
+        for files, schema in groups
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _is_conflict(error: Exception) -> bool:
+    return "CANNOT_MERGE" in str(error)
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files below a folder, by name; what begins with _ or . is none."""
+    fs, root = file_system(spark, path)
+    listing, base, found = fs.listFiles(root, True), fs.makeQualified(root).toString().rstrip("/"), []
+    while listing.hasNext():
+        name = listing.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in name[len(base) + 1 :].split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def _mergeable(spark: SparkSession, base: str, files: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Groups of files whose schemas Spark can merge; equal schemas share a group.
+
+    A list that cannot be merged is halved, so k kinds of files among n take about
+    k * log2(n) distributed merges, not n on the driver.
+    """
+    groups: dict[str, tuple[list[str], T.StructType]] = {}
+    open_lists = [files]
+    while open_lists:
+        some = open_lists.pop()
+        try:
+            schema = spark.read.option("mergeSchema", True).option("basePath", base).parquet(*some).schema
+        except (PySparkException, Py4JJavaError) as error:
+            if not _is_conflict(error) or len(some) == 1:
+                raise
+            middle = len(some) // 2
+            open_lists += [some[middle:], some[:middle]]
+            continue
+        groups.setdefault(schema.json(), ([], schema))[0].extend(some)
+    return list(groups.values())
 
 
 # --- versioned folders -------------------------------------------------------

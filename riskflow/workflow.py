@@ -10,10 +10,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow import incident_columns as names
 from riskflow.operators import cleaning, encoding, gate, runlog, scoring, training
+from riskflow.operators import tags as tag_store
 from riskflow.sources import tables
 
 
@@ -107,16 +109,40 @@ def validate(
     version: str,
     features: str,
     model_path: str,
-    description: str,
+    description: str | None,
     table: RiskTable,
     slice_cols: str | Sequence[str] | None = None,
+    tags: str | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """(checks, decision) of a stored model on a feature table."""
+    """(checks, decision) of a stored model on a feature table.
+
+    With ``tags``, the path of a tag table, what is not given here is read from the version's tags
+    ``slice_cols`` and ``description``; checks and decision are appended to the table once, and
+    what is returned is read from it, so that the model scores the features once.
+    """
+    given = tag_store.tag_values(spark, tags, version, ["slice_cols", "description"]) if tags else {}
+    slice_cols = slice_cols or given.get("slice_cols")
+    description = description or given.get("description")
     model, schema = scoring.load_model(model_path)
     rows = tables.read_table(spark, features)
     checks = gate.run_checks(version, model, rows, schema, table.label, slice_cols, description, **options)
-    return checks, gate.decide(checks)
+    if tags is None:
+        return checks, gate.decide(checks)
+    tag_store.store_checks(checks, tags)
+    return review(spark, version, tags)
+
+
+def review(spark: SparkSession, version: str, tags: str) -> tuple[DataFrame, DataFrame]:
+    """(checks, decision) from the stored checks of a version; the decision becomes a tag as well."""
+    known = tag_store.read_tags(spark, tags).where(F.col("version") == version)
+    checks = tag_store.stored_checks(known, gate.CHECKS)
+    decided = gate.decide(checks).first()
+    if decided is None:
+        raise ValueError(f"no checks of {version} are stored")
+    tag_store.set_tags(spark, tags, version, {"decision": decided["decision"], "n_failed": decided["n_failed"]})
+    now = tag_store.tags_wide(tag_store.read_tags(spark, tags).where(F.col("version") == version), ["decision", "n_failed"])
+    return checks, now.select("version", "decision", F.col("n_failed").cast("bigint").alias("n_failed"))
 
 
 def score(spark: SparkSession, features: str, model_path: str, target: str, table: RiskTable) -> DataFrame:

@@ -169,3 +169,92 @@ def test_frequency(spark):
 def test_types_without_an_order_are_refused(spark):
     with pytest.raises(TypeError, match="array"):
         encoding.fit_label_encoder(spark.sql("SELECT array(1) AS v"))
+
+
+def _shuffles(text):
+    return [line for line in text.splitlines() if "hashpartitioning" in line and "Arguments" in line]
+
+
+def test_several_large_columns_share_their_shuffles(spark, plan):
+    """Three large columns: their entries meet the domain once, the wide rows are shuffled once."""
+    n = 6_000
+    rows = spark.range(0, n, 1, 4).select(
+        "id",
+        (F.col("id") * 7 % 5003).alias("a"),
+        F.concat(F.lit("v"), F.col("id") % 4001).alias("b"),
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).when(F.col("id") % 3 == 1, F.col("id") / 7).alias("c"),
+    )
+    domain = encoding.fit_label_encoder(rows, ["a", "b", "c"])
+    names = {"a": "bigint", "b": "string", "c": "double"}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        coded = encoding.encode(rows, domain, max_broadcast_rows=0)
+        wide = [line for line in _shuffles(plan(coded)) if "_row" in line]
+        got = {r["id"]: (r["a"], r["b"], r["c"]) for r in coded.collect()}
+        back = encoding.decode(coded, domain, max_broadcast_rows=0)
+        assert [f.dataType.simpleString() for f in back.schema][1:] == list(names.values())
+        assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(wide) == 2  # the stored rows, and the folded codes
+    plain = {r["id"]: (r["a"], r["b"], r["c"]) for r in encoding.encode(rows, domain).collect()}
+    assert got == plain and len(got) == n
+
+
+def test_large_columns_of_which_one_has_only_hot_values(spark):
+    rows = spark.range(3_000).select("id", (F.col("id") % 2).alias("a"), (F.col("id") * 11 % 2999).cast("int").alias("b"))
+    domain = encoding.fit_label_encoder(rows, ["a", "b"])
+    new = rows.withColumn("a", F.when(F.col("id") % 5 == 0, F.lit(9)).otherwise(F.col("a"))).withColumn("b", F.col("b").cast("double") + 0.5 * (F.col("id") % 2))
+    large, small = (
+        {r["id"]: (r["a"], r["b"]) for r in encoding.encode(new, domain, max_broadcast_rows=limit).collect()} for limit in (0, None)
+    )
+    assert large == small and large[0] == (None, 0) and large[1] == (1, None)
+
+
+def test_few_values_stop_at_the_limit(spark):
+    df = spark.createDataFrame([("b", 2.5), ("a", 10.0), (None, float("nan")), ("é", -0.0)], "s string, d double")
+    assert encoding.few_values(df, ["s", "d"], 6) == {"s": ["a", "b", "é"], "d": ["0.0", "2.5", "10.0"]}
+    assert encoding.few_values(df, ["s", "d"], 5) is None
+    assert encoding.few_values(df.limit(0), ["s"], 5) == {"s": []}
+
+
+SPARSE = [("", "indicator"), ("", "ignore"), ("first", "indicator"), ("first", "ignore")]
+
+
+@pytest.mark.parametrize(("drop", "unknown"), SPARSE)
+def test_sparse_one_hot_has_the_slots_of_the_dense_one(spark, tmp_path, drop, unknown):
+    from pyspark.ml.functions import vector_to_array
+
+    from riskflow.operators.stages import OneHotFeatures, OneHotFeaturesModel
+
+    fitted = spark.createDataFrame(
+        [("unknown", 1.0), ("b", 2.5), ("a", None), ("unknown_", float("nan"))], "s string, d double"
+    )
+    now = spark.createDataFrame([("a", 1), ("z", 2), (None, None), ("unknown_", 7), ("b", 1)], "s string, d int")
+    now = now.withColumn("id", F.monotonically_increasing_id())
+    found = {}
+    for limit in (100, 0):
+        model = OneHotFeatures(inputCols=["s", "d"], outputCol="f", drop=drop, unknown=unknown, maxDense=limit).fit(fitted)
+        model.write().overwrite().save(str(tmp_path / f"model{limit}"))
+        model = OneHotFeaturesModel.load(str(tmp_path / f"model{limit}"))
+        out = model.transform(now).orderBy("id")
+        assert out.columns == ["s", "d", "id", "f"]
+        slots = [list(r["f"]) for r in (out if limit else out.withColumn("f", vector_to_array("f"))).collect()]
+        names = {r["slot"]: r["feature"] for r in model.feature_table().collect()}
+        found[limit] = slots, names, model.n_slots()
+    assert found[0] == found[100]
+    with pytest.raises(ValueError, match="feature_table"):
+        model.feature_names()
+
+
+def test_modes_of_several_columns(spark):
+    from riskflow.operators import imputing
+
+    rows = [("x", 1, 1.5, True), ("x", 2, 1.5, None), ("y", 2, None, False), (None, None, 0.5, False), ("y", None, 0.5, True)]
+    df = spark.createDataFrame(rows, "g string, i int, d double, b boolean")
+    assert imputing.fit_impute(df, ["g", "i", "d", "b"], "mode") == {"g": "x", "i": 2, "d": 0.5, "b": False}
+    filled = imputing.impute(df, ["i", "d"], "mode", by=["g"])
+    assert filled.schema["i"].dataType.simpleString() == "int"
+    got = {(r["g"], r["i"], r["d"]) for r in filled.collect()}
+    assert got == {("x", 1, 1.5), ("x", 2, 1.5), ("y", 2, 0.5), (None, 2, 0.5)}

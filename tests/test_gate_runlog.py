@@ -102,3 +102,42 @@ def test_get_or_train_trains_once(spark, tmp_path):
     assert runlog.get_or_train(spark, path, "m", train).first()["run_id"] == "r1"
     assert runlog.get_or_train(spark, path, "m", train, force=True).first()["run_id"] == "r2"
     assert len(calls) == 2
+
+
+def test_tags_keep_the_newest_value(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    from riskflow.operators import tags
+
+    path = str(tmp_path / "tags")
+    assert tags.tags_wide(tags.read_tags(spark, path), ["a"]).count() == 0
+    at = [datetime(2024, 1, d, tzinfo=timezone.utc) for d in (1, 2, 3)]
+    tags.set_tags(spark, path, "v1", {"a": True, "b": 0.5, "c": None}, at[1])
+    tags.set_tags(spark, path, "v1", {"a": "old", "b": "older"}, at[0])
+    tags.set_tags(spark, path, "v2", {"a": "x"}, at[0])
+    tags.set_tags(spark, path, "v2", {"a": None, "b": "y"}, at[2])
+    wide = {r["version"]: (r["a"], r["b"], r["c"]) for r in tags.tags_wide(tags.read_tags(spark, path), ["a", "b", "c"]).collect()}
+    assert wide == {"v1": ("1", "0.5", None), "v2": (None, "y", None)}
+    assert tags.tag_values(spark, path, "v1", ["a", "z"]) == {"a": "1", "z": None}
+
+
+def test_validation_reads_tags_and_scores_once(spark, tmp_path, monkeypatch):
+    from riskflow import workflow
+    from riskflow.operators import gate, scoring, tags, training
+
+    rows = spark.range(400).select("id", (F.col("id") % 2).cast("int").alias("x"), (F.col("id") % 2).cast("double").alias("label"), F.when(F.col("id") % 4 < 2, "l").otherwise("r").alias("side"))
+    model = training.fit_pipeline(rows, training.FeatureSpec(binary=["x"]), C=1.0, balance=True)
+    scoring.save_model(model, scoring.signature(rows, ["x"]), str(tmp_path / "model"))
+    rows.write.parquet(str(tmp_path / "features"))
+    path = str(tmp_path / "tags")
+    tags.set_tags(spark, path, "v1", {"slice_cols": "side", "description": "says which side a row is on"})
+    calls = []
+    monkeypatch.setattr(gate, "score", lambda *a, **k: calls.append(1) or scoring.score(*a, **k))
+    plan = workflow.RiskTable(key="id", label="label")
+    checks, decision = workflow.validate(spark, "v1", str(tmp_path / "features"), str(tmp_path / "model"), None, plan, tags=path)
+    assert {r["check"]: r["value"] for r in checks.collect()} == {"has_description": "1", "has_signature": "1", "predicts": "1", "slice_test": "pass"}
+    assert [tuple(r) for r in decision.collect()] == [("v1", "accept", 0)]
+    assert len(calls) == 1
+    assert tags.tag_values(spark, path, "v1", ["decision", "slice_test_detail"]) == {"decision": "accept", "slice_test_detail": "2 slices"}
+    with pytest.raises(ValueError, match="v9"):
+        workflow.review(spark, "v9", path)

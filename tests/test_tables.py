@@ -81,3 +81,33 @@ def test_key_check(spark, tmp_path):
 def test_preview_and_schema(spark):
     assert [r["id"] for r in tables.preview(spark.range(10), 2, [F.desc("id")]).collect()] == [9, 8]
     assert tables.schema_rows(spark.range(1)).first()["type"] == "bigint"
+
+
+def test_files_whose_types_differ_are_read_as_the_widest(spark, tmp_path):
+    path = str(tmp_path / "mixed")
+    parts = [
+        "SELECT 1 AS id, true AS v, 5 AS n, named_struct('a', 1) AS s, DATE'2024-01-02' AS d",
+        "SELECT 2 AS id, 0.25D AS v, 6L AS n, named_struct('a', 2.5D, 'b', 'x') AS s, TIMESTAMP'2024-01-02 03:00:00' AS d",
+        "SELECT 3L AS id, CAST(1.50 AS DECIMAL(5,2)) AS v, CAST(7.25 AS DECIMAL(4,2)) AS n",
+        "SELECT 4 AS id, 'many' AS n, array(1, 2) AS extra",
+        "SELECT 5 AS id, 9 AS n, 'none' AS extra",
+    ]
+    for part in parts:
+        tables.append_evolving(spark.sql(part), path)
+    got = tables.read_evolving(spark, path)
+    kinds = {f.name: f.dataType.simpleString() for f in got.schema}
+    assert kinds == {"id": "bigint", "v": "double", "n": "string", "s": "struct<a:double,b:string>", "d": "timestamp", "extra": "string"}
+    rows = {r["id"]: r for r in got.collect()}
+    assert [rows[i]["v"] for i in range(1, 6)] == [1.0, 0.25, 1.5, None, None]
+    assert [rows[i]["n"] for i in range(1, 6)] == ["5", "6", "7.25", "many", "9"]
+    assert (rows[1]["s"]["a"], rows[1]["s"]["b"], rows[2]["s"]["b"], rows[3]["s"]) == (1.0, None, "x", None)
+    assert [rows[4]["extra"], rows[5]["extra"]] == ["[1,2]", "none"]
+
+
+def test_files_that_agree_are_merged_by_spark_itself(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "plain")
+    for n in (1, 2, 3):
+        tables.append_evolving(spark.range(n).withColumn(f"c{n}", F.lit(n)), path)
+    monkeypatch.setattr(tables, "_mergeable", lambda *_: 1 / 0)
+    assert tables.read_evolving(spark, path).count() == 6
+    assert len(tables.data_files(spark, path)) >= 3

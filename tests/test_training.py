@@ -199,3 +199,27 @@ def test_kernel_shap_keeps_microseconds_and_tells_equal_keys_apart(spark):
     phis = explaining.kernel_shap(lambda d: d.withColumn("prediction", micros + F.col("x")), same.where("x = 1"), same, ["t", "x"], "k")
     found = sorted((r["feature"], round(r["phi"], 6)) for r in phis.collect())
     assert found == [("t", 0.0), ("t", 0.0), ("x", 0.0), ("x", 2.0)]
+
+
+def test_balanced_fit_equals_the_weighted_one(spark, table):
+    from riskflow.operators import splitting
+
+    weighted = splitting.with_class_weight(table, "label")
+    one = training.fit_pipeline(weighted, SPEC, weight="weight", C=1.0)
+    two = training.fit_pipeline(table, SPEC, C=1.0, balance=True)
+    got = [{r["feature"]: r["coefficient"] for r in training.coefficient_table(m).collect()} for m in (one, two)]
+    assert got[0].keys() == got[1].keys()
+    assert all(abs(got[0][k] - got[1][k]) < 1e-6 for k in got[0])
+
+
+def test_sparse_features_train_the_same_model(spark, table, monkeypatch, tmp_path):
+    dense = training.fit_pipeline(table, SPEC, C=1.0, balance=True)
+    monkeypatch.setattr(training, "MAX_DENSE", 0)
+    wide = training.fit_pipeline(table, SPEC, C=1.0, balance=True)
+    scoring.save_model(wide, scoring.signature(table, SPEC.columns()), str(tmp_path / "wide"))
+    again, _ = scoring.load_model(str(tmp_path / "wide"))
+    got = [{r["feature"]: r["coefficient"] for r in training.coefficient_table(m).collect()} for m in (dense, again)]
+    assert got[0].keys() == got[1].keys()
+    assert all(abs(got[0][k] - got[1][k]) < 1e-6 for k in got[0])
+    rows = [sorted(map(str, scoring.score(m, table).collect())) for m in (dense, again)]
+    assert rows[0] == rows[1]
