@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.functions.columns import quoted, require
+from riskflow.functions.columns import hash_slot, quoted, require
 from riskflow.operators.encoding import few_values
 from riskflow.operators.evaluation import evaluate, prefixed
 from riskflow.operators.splitting import with_split
@@ -323,6 +323,27 @@ def _classifier(trial: Mapping[str, object], weight_sum: float, label: str, weig
     raise ValueError(f"unknown model family {family!r}")
 
 
+def _prepared_parts(
+    df: DataFrame, label: str, spec: FeatureSpec, key: str, seed: int, stratify: bool
+) -> tuple[DataFrame, Preparation, DataFrame]:
+    """(labelled rows, stages fitted on the training part, stored features of all parts).
+
+    The stored table has the label, ``split``, ``weight``, ``slot`` (0..9999, a hash of the key) and ``features``.
+    """
+    require(df, [label, key, *spec.columns()])
+    labelled = df.where(F.col(quoted(label)).isNotNull())
+    labelled = labelled.withColumn(label, F.col(quoted(label)).cast("double"))
+    parts = with_split(labelled, key, seed, stratify=label if stratify else None)
+    in_train = F.col("split") == "train"
+    preparation = prepare(parts.where(in_train), spec, label, balance=True)
+    # only training rows weigh other than 1
+    weighted = parts.withColumn("weight", F.when(in_train, preparation.weight).otherwise(F.lit(1.0)))
+    weighted = weighted.withColumn("slot", hash_slot(F.col(quoted(key)), seed + 1))
+    # stored, not cached: all trials read it, and it outlives the executors
+    columns = [label, "split", "weight", "slot", "features"]
+    return labelled, preparation, materialize(preparation.transform(weighted).select(*columns), "prepared")
+
+
 def search(
     df: DataFrame,
     label: str,
@@ -344,16 +365,7 @@ def search(
     default. ``metrics`` has (run_id, name, value) of every finished trial, train weighted, the
     other parts not. With ``refit`` the winner is trained again on all rows.
     """
-    require(df, [label, key, *spec.columns()])
-    labelled = df.where(F.col(quoted(label)).isNotNull())
-    labelled = labelled.withColumn(label, F.col(quoted(label)).cast("double"))
-    parts = with_split(labelled, key, seed, stratify=label if stratify else None)
-    in_train = F.col("split") == "train"
-    preparation = prepare(parts.where(in_train), spec, label, balance=True)
-    # only training rows weigh other than 1
-    weighted = parts.withColumn("weight", F.when(in_train, preparation.weight).otherwise(F.lit(1.0)))
-    # stored, not cached: all trials read it, and it outlives the executors
-    prepared = materialize(preparation.transform(weighted).select(label, "split", "weight", "features"), "prepared")
+    labelled, preparation, prepared = _prepared_parts(df, label, spec, key, seed, stratify)
     train = prepared.where(F.col("split") == "train")
     weight_sum = preparation.weight_sum
     start = time.monotonic()
@@ -400,6 +412,68 @@ def search(
     return SearchResult(trials, model, best, metrics)
 
 
+def search_halving(
+    df: DataFrame,
+    label: str,
+    spec: FeatureSpec,
+    key: str,
+    grid: Sequence[Mapping[str, object]] = DEFAULT_GRID,
+    shares: Sequence[float] = (0.25, 0.5, 1.0),
+    parallelism: int = 2,
+    seed: int = 0,
+    stratify: bool = False,
+) -> SearchResult:
+    """search() with less effort: entries meet growing shares of the training rows, the better half goes on.
+
+    The shares are nested, by a hash of the key, and the last must be 1. After each but the last,
+    the half (rounded up) with the highest validation F1 stays, ties by the order of the grid; entries that
+    fail on a share go on, as that may be too small for them. ``trials`` has every entry once, with
+    ``share`` the last one it met, its status (``STOPPED`` for those that did not go on) and validation F1
+    there; the model is the best of those that met all rows.
+    """
+    if not shares or shares[-1] != 1.0 or list(shares) != sorted(set(shares)):
+        raise ValueError("shares must rise and end with 1")
+    _, preparation, prepared = _prepared_parts(df, label, spec, key, seed, stratify)
+    val = prepared.where(F.col("split") == "val")
+    rows = [
+        {"run_id": f"trial-{i:03d}", "family": str(t["family"]), "params": json.dumps({k: v for k, v in t.items() if k != "family"}, sort_keys=True)}
+        for i, t in enumerate(grid)
+    ]
+    alive, fitted = list(range(len(rows))), {}
+    for share in shares:
+        train = prepared.where((F.col("split") == "train") & (F.col("slot") < round(share * 10_000)))
+        weight_sum = preparation.weight_sum if share == 1.0 else float(train.agg(F.sum("weight")).first()[0] or 0.0)
+
+        def run(index: int):
+            try:
+                model = _classifier(grid[index], weight_sum, label, "weight", seed).fit(train)
+                return model, evaluate(model.transform(val), label, "prediction", by=None).first()["f1"], None
+            except (PySparkException, ValueError, ZeroDivisionError) as error:
+                return None, None, str(error)
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            outcomes = dict(zip(alive, pool.map(run, alive)))
+        for index, (model, f1, detail) in outcomes.items():
+            status = "FAILED" if model is None else "FINISHED"
+            rows[index] |= {"status": status, "share": share, "val_f1": f1, "detail": detail}
+            fitted[index] = model
+        if share == 1.0:
+            break
+        ranked = sorted((i for i in alive if fitted[i] is not None), key=lambda i: (-rows[i]["val_f1"], i))
+        ahead = ranked[: (len(ranked) + 1) // 2]
+        for index in ranked[len(ahead) :]:
+            rows[index]["status"] = "STOPPED"
+        alive = sorted([*ahead, *(i for i in alive if fitted[i] is None)])
+    schema = "run_id string, family string, params string, status string, share double, val_f1 double, detail string"
+    names = [part.split()[0] for part in schema.split(", ")]
+    trials = df.sparkSession.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+    finished = [i for i in alive if rows[i]["status"] == "FINISHED"]
+    if not finished:
+        return SearchResult(trials, None, None)
+    best = min(finished, key=lambda i: (-rows[i]["val_f1"], i))
+    return SearchResult(trials, PipelineModel(stages=[*preparation.stages, fitted[best]]), rows[best])
+
+
 def probability_of_one(df: DataFrame, out: str = "score", column: str = "probability") -> DataFrame:
     """The probability of label 1 as a plain number."""
     return df.withColumn(out, vector_to_array(column)[1])

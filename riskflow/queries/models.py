@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import workflow
-from riskflow.operators import cleaning, evaluation, explaining, gate, runlog, scoring, splitting, training
+from riskflow.operators import cleaning, evaluation, explaining, folds, foreign, gate, runlog, scoring, splitting, training
 from riskflow.operators import tags as tag_store
 from riskflow.plans.shared import new_path
-from riskflow.queries.evaluation import scored
+from riskflow.queries.evaluation import SCORED, scored
 from riskflow.queries.registry import incidents, query, rounded, table
-from riskflow.queries.splitting import split_sql
+from riskflow.queries.splitting import FOLDS_SQL, split_sql
 from riskflow.queries.tables import ORDER_SCHEMA
+from riskflow.streaming.quarantine import score_or_set_aside
 from riskflow.streaming.scoring import read_arriving, score_stream
 
 SPEC = training.FeatureSpec(binary=["quality"], numeric=["n_chars"], one_hot=["lang", "source"])
@@ -196,6 +198,16 @@ def stream_score_binary(spark, sf_dir):
     return spark.read.parquet(sink).select("o_orderkey", "prediction")
 
 
+def _urgent_orders(spark, sf_dir):
+    """One 0/1 feature, and a label that equals it for seven of ten rows."""
+    urgent = F.col("o_orderpriority") <= "2-HIGH"
+    return table(spark, sf_dir, "orders").withColumns(
+        {"urgent": urgent.cast("int"), "label": (urgent != (F.col("o_orderkey") % 10 < 3)).cast("double")}
+    )
+
+
+URGENT = """(SELECT *, (o_orderpriority <= '2-HIGH')::INT AS x, ((o_orderpriority <= '2-HIGH') <> (o_orderkey % 10 < 3))::INT AS y FROM orders)"""
+
 # The search over two penalties of a one-feature model whose label is the feature for seven of ten
 # rows: no penalty cancels the slope.
 _SEARCHED = f"""
@@ -222,10 +234,7 @@ _SEARCHED = f"""
 )
 def model_search_binary(spark, sf_dir):
     """A search whose trials have a closed form."""
-    urgent = F.col("o_orderpriority") <= "2-HIGH"
-    orders = table(spark, sf_dir, "orders").withColumns(
-        {"urgent": urgent.cast("int"), "label": (urgent != (F.col("o_orderkey") % 10 < 3)).cast("double")}
-    )
+    orders = _urgent_orders(spark, sf_dir)
     grid = [{"family": "logistic", "C": c, "penalty": "l1"} for c in (1.0, 0.1)]
     found = training.search(orders, "label", training.FeatureSpec(binary=["urgent"]), "o_orderkey", grid)
     return rounded(found.trials.select("run_id", "family", "status", "train_f1", "val_f1", "test_f1"), 6, "train_f1", "val_f1", "test_f1")
@@ -257,3 +266,69 @@ def gate_roundtrip(spark, sf_dir):
     for version in ("v1", "v2"):
         workflow.validate(spark, version, features, path, None, plan, tags=tags)
     return tag_store.tags_wide(tag_store.read_tags(spark, tags), [*gate.CHECKS, "decision", "n_failed"])
+
+
+@query(
+    "search_halving_binary",
+    f"""WITH v AS (SELECT round(2 * count(*) FILTER (x = 1 AND y = 1) / (2 * count(*) FILTER (x = 1 AND y = 1) + count(*) FILTER (x <> y)), 6) AS f1
+                   FROM {URGENT} WHERE {split_sql('o_orderkey')} = 'val')
+        SELECT run_id, status, share, f1 AS val_f1 FROM v, (VALUES ('trial-000', 'FINISHED', 1.0::DOUBLE), ('trial-001', 'STOPPED', 0.5::DOUBLE),
+          ('trial-002', 'STOPPED', 0.25::DOUBLE), ('trial-003', 'STOPPED', 0.25::DOUBLE)) t(run_id, status, share)""",
+)
+def search_halving_binary(spark, sf_dir):
+    """Four entries with the same predictions: the order of the grid decides who goes on."""
+    grid = [{"family": "logistic", "C": c, "penalty": p} for c in (1.0, 0.1) for p in ("l1", "l2")]
+    spec = training.FeatureSpec(binary=["urgent"])
+    found = training.search_halving(_urgent_orders(spark, sf_dir), "label", spec, "o_orderkey", grid)
+    return rounded(found.trials.select("run_id", "status", "share", "val_f1"), 6, "val_f1")
+
+
+@query(
+    "cross_validated",
+    f"""SELECT fold, count(*) FILTER (x = 1 AND y = 1) AS tp, count(*) FILTER (x = 1 AND y = 0) AS fp, count(*) FILTER (x = 0 AND y = 0) AS tn,
+               count(*) FILTER (x = 0 AND y = 1) AS fn, count(*) AS n, round((count(*) FILTER (x = y)) / count(*), 6) AS accuracy
+        FROM {URGENT} JOIN {FOLDS_SQL} USING (o_custkey) GROUP BY fold""",
+)
+def cross_validated(spark, sf_dir):
+    """Each fold measured by a model of the other four; the feature is what every one of them predicts."""
+    spec = training.FeatureSpec(binary=["urgent"])
+    found = folds.cross_validate(_urgent_orders(spark, sf_dir), "label", spec, "o_custkey", 5)
+    return rounded(found.select("fold", "tp", "fp", "tn", "fn", "n", "accuracy"), 6, "accuracy")
+
+
+def _numpy_logistic(columns):
+    import numpy as np
+
+    margin = -0.2 + columns["length_k"] * 0.1 + columns["quality"] * -0.1
+    return 1 / (1 + np.exp(-margin))
+
+
+@query("foreign_model_score", f"SELECT doc_id, score, prediction FROM {SCORED}")
+def foreign_model_score(spark, sf_dir):
+    """The fixed model as a stored numpy function, over Arrow batches."""
+    rows = cleaning.drop_missing(incidents(spark, sf_dir)).withColumn("length_k", F.col("n_chars") / 1000)
+    contract = T.StructType([T.StructField("length_k", T.DoubleType()), T.StructField("quality", T.IntegerType())])
+    path = new_path(spark, "foreign")
+    foreign.save_foreign(foreign.ForeignModel(_numpy_logistic, contract), path)
+    result = foreign.score_foreign(foreign.load_foreign(spark, path), rows, "score").withColumn("score", F.round("score", 6))
+    return result.select("doc_id", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("prediction"))
+
+
+@query(
+    "stream_quarantine",
+    f"""SELECT o_orderkey, o_orderkey % 10 < 2 AS set_aside, CASE WHEN o_orderkey % 10 >= 2 THEN prediction END AS prediction,
+               CASE o_orderkey % 10 WHEN 0 THEN 'urgent is no int' WHEN 1 THEN 'urgent is missing' END AS contract_breach
+        FROM {_BINARY_PREDICTION}""",
+)
+def stream_quarantine(spark, sf_dir):
+    """A stream in which a fifth of the rows breaks the model's contract."""
+    model, _ = _binary_model(spark, sf_dir)
+    contract = T.StructType([T.StructField("urgent", T.IntegerType(), False)])
+    arriving = read_arriving(spark, f"{sf_dir}/orders.parque[t]", ORDER_SCHEMA)
+    turn = F.col("o_orderkey") % 10
+    urgent = F.when(turn == 0, "n/a").when(turn != 1, (F.col("o_orderpriority") <= "2-HIGH").cast("int").cast("string"))
+    sink, aside, checkpoint = (new_path(spark, name) for name in ("scored", "aside", "progress"))
+    score_or_set_aside(model, arriving.withColumn("urgent", urgent), contract, sink, aside, checkpoint).awaitTermination()
+    good = spark.read.parquet(sink).select("o_orderkey", F.lit(False).alias("set_aside"), "prediction")
+    bad = spark.read.parquet(aside).select("o_orderkey", F.lit(True).alias("set_aside"), "contract_breach")
+    return good.unionByName(bad, allowMissingColumns=True)

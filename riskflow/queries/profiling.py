@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from riskflow.operators import cleaning, profiling
+from pyspark.sql import functions as F
+
+from riskflow.operators import association, cleaning, profiling, sketches
+from riskflow.plans.shared import new_path
 from riskflow.queries.registry import INCIDENTS, incidents, query, rounded, table
 
 
@@ -131,3 +134,56 @@ def leakage_report(spark, sf_dir):
     labelled = cleaning.with_binary_label(rows, ["quality", "toxic"])
     return profiling.leakage_report(labelled, "label")
 
+
+
+_PAIRS = [("lang", "source"), ("source", "lang"), ("quality", "toxic"), ("lang", "toxic"), ("doc_id", "source"), ("copy", "toxic"), ("one", "lang")]
+_PAIR_ROWS = f"(SELECT *, CASE toxic WHEN 1 THEN 'yes' WHEN 0 THEN 'no' END AS copy, 1 AS one FROM {INCIDENTS})"
+
+
+def _association_sql(source: str, target: str) -> str:
+    return f"""SELECT '{source}' AS source, '{target}' AS target, n, n_source, n_target, round(entropy, 6) + 0.0 AS entropy,
+      round(left_over, 6) + 0.0 AS conditional_entropy,
+      CASE WHEN n_target > 1 THEN round(1 - left_over / entropy, 6) END AS explained,
+      CASE WHEN least(n_source, n_target) > 1 THEN round(sqrt(greatest(phi - 1, 0) / (least(n_source, n_target) - 1)), 6) END AS cramers_v
+    FROM (SELECT sum(c)::BIGINT AS n, count(DISTINCT coalesce('=' || a::VARCHAR, '')) AS n_source, count(DISTINCT coalesce('=' || b::VARCHAR, '')) AS n_target,
+                 greatest(-sum(c / t * ln(cb / t)), 0) AS entropy, greatest(-sum(c / t * ln(c / ca)), 0) AS left_over, sum(c * c / (ca * cb)) AS phi
+          FROM (SELECT a, b, c::DOUBLE AS c, sum(c) OVER (PARTITION BY a)::DOUBLE AS ca, sum(c) OVER (PARTITION BY b)::DOUBLE AS cb,
+                       sum(c) OVER ()::DOUBLE AS t
+                FROM (SELECT {source} AS a, {target} AS b, count(*) AS c FROM {_PAIR_ROWS} GROUP BY ALL)))"""
+
+
+@query("association_pairs", " UNION ALL ".join(_association_sql(a, b) for a, b in _PAIRS))
+def association_pairs(spark, sf_dir):
+    """What columns tell of each other: a relabelled copy of the label among them."""
+    copy = F.when(F.col("toxic") == 1, "yes").when(F.col("toxic") == 0, "no")
+    return association.association(incidents(spark, sf_dir).withColumns({"copy": copy, "one": F.lit(1)}), _PAIRS)
+
+
+@query(
+    "profile_merged",
+    """SELECT c AS "column", n, 0::BIGINT AS n_null, 7::BIGINT AS n_deliveries, lo AS min, hi AS max, round(mean, 6) AS mean,
+              round(std, 4) AS std, TRUE AS distinct_ok, TRUE AS quantiles_ok
+       FROM (SELECT 'l_partkey' AS c, count(*) AS n, min(l_partkey)::DOUBLE AS lo, max(l_partkey)::DOUBLE AS hi, avg(l_partkey) AS mean, stddev_samp(l_partkey) AS std FROM lineitem
+             UNION ALL SELECT 'l_quantity', count(*), min(l_quantity), max(l_quantity), avg(l_quantity), stddev_samp(l_quantity) FROM lineitem
+             UNION ALL SELECT 'l_extendedprice', count(*), min(l_extendedprice), max(l_extendedprice), avg(l_extendedprice), stddev_samp(l_extendedprice) FROM lineitem)""",
+)
+def profile_merged(spark, sf_dir):
+    """Seven deliveries sketched and stored, one of them twice; merged numbers against those of the whole table.
+
+    Distinct counts may be 5 % off, ranks of quantiles 1 %.
+    """
+    lines, cols = table(spark, sf_dir, "lineitem"), ["l_partkey", "l_quantity", "l_extendedprice"]
+    path, shares = new_path(spark, "sketches"), (0.05, 0.5, 0.95)
+    sketches.add_delivery(lines.where("l_linenumber <= 4"), path, cols, F.col("l_linenumber"))
+    sketches.add_delivery(lines.where("l_linenumber >= 4"), path, cols, F.col("l_linenumber"))
+    merged = sketches.merged_profile(sketches.read_deliveries(spark, path), shares).collect()  # one row per column
+    exact = lines.agg(*[F.countDistinct(c).alias(c) for c in cols]).first()
+    rows = []
+    for r in merged:
+        c = r["column"]
+        errors = sketches.rank_errors(lines, c, [(s, r[f"p{s * 100:g}"]) for s in shares]).collect()
+        rows.append((c, abs(r["n_distinct"] - exact[c]) <= 0.05 * exact[c], all(e["error"] <= 0.01 for e in errors)))
+    judged = spark.createDataFrame(rows, "column string, distinct_ok boolean, quantiles_ok boolean")
+    whole = sketches.merged_profile(sketches.read_deliveries(spark, path), shares).join(judged, "column")
+    whole = whole.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 4)})
+    return whole.select("column", "n", "n_null", "n_deliveries", "min", "max", "mean", "std", "distinct_ok", "quantiles_ok")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskflow.operators import cleaning, splitting
+from riskflow.operators import cleaning, folds, splitting
 from riskflow.queries.registry import INCIDENTS, incidents, query, rounded, table
 
 
@@ -79,3 +79,18 @@ def hold_out(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     kept, held = splitting.hold_out(orders, "o_orderkey", 0.1, 7)
     return kept.withColumn("part", F.lit("kept")).unionByName(held.withColumn("part", F.lit("held")))
+
+
+FOLDS_SQL = """(SELECT o_custkey, n, least((5 * (2 * upto - n)) // (2 * total), 4)::INT AS fold FROM
+  (SELECT *, sum(n) OVER (ORDER BY h, o_custkey)::BIGINT AS upto, sum(n) OVER ()::BIGINT AS total FROM
+    (SELECT o_custkey, count(*) AS n, md5(o_custkey || '|0') AS h FROM orders GROUP BY o_custkey)))"""
+
+
+@query("fold_counts", f"SELECT fold, sum(n)::BIGINT AS n_rows, count(*) AS n_groups, sum(o_custkey)::BIGINT AS key_sum FROM {FOLDS_SQL} GROUP BY fold")
+def fold_counts(spark, sf_dir):
+    """Five folds of orders that keep the orders of a customer together."""
+    rows = folds.with_folds(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", 5)
+    per_group = rows.groupBy("fold", "o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return per_group.groupBy("fold").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_groups"), F.sum("o_custkey").alias("key_sum")
+    )
