@@ -115,8 +115,8 @@ def _document_prints(k: int, bands: int, rows: int):
 
 
 def _document_sets(k: int, minima: int):
-    """(print, lowest bytes of the minima, set) of each text; whole sets, as sorted 64-bit hashes."""
-    schema = pa.schema([("print", pa.binary()), ("signature", pa.binary()), ("members", pa.binary())])
+    """(print, lowest bytes of the minima, set) of each text; whole sets of 64-bit hashes."""
+    schema = pa.schema([("print", pa.binary()), ("signature", pa.binary()), ("members", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, 0):
@@ -126,7 +126,7 @@ def _document_sets(k: int, minima: int):
                 shingles = _shingles(hashes, starts[i], starts[i + 1], k)
                 out["print"].append(_set_print(shingles))
                 out["signature"].append(_signature(shingles, minima).astype(np.uint8).tobytes())
-                out["members"].append(shingles.tobytes())
+                out["members"].append(shingles.view(np.int64))
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
@@ -158,25 +158,6 @@ def _alike(threshold: float, minima: int, slack: float):
     return run
 
 
-def _similar(percent: int):
-    """Pairs whose sets reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                a = np.frombuffer(batch.column("members")[i].as_py(), np.uint64)
-                b = np.frombuffer(batch.column("members_b")[i].as_py(), np.uint64)
-                both = np.concatenate([a, b])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                if 100 * shared >= percent * (len(both) - shared):
-                    keep.append(i)
-            yield batch.select(["class_a", "class_b"]).take(pa.array(keep, pa.int64()))
-
-    return run
-
-
 def _chunk_links(percent: int):
     """Links between the classes of two chunks of a cluster, one for each class and component."""
 
@@ -201,8 +182,8 @@ def _chunk_links(percent: int):
         right = rows[rows["chunk"] == rows["high"]].reset_index(drop=True)
         out: list[tuple[int, int]] = []
         if len(left) and len(right):
-            a = [np.frombuffer(m, np.uint64) for m in left["members"]]
-            b = [np.frombuffer(m, np.uint64) for m in right["members"]]
+            a = [np.asarray(m, np.int64) for m in left["members"]]
+            b = [np.asarray(m, np.int64) for m in right["members"]]
             a_comp, b_comp = left["component"].to_numpy(np.int64), right["component"].to_numpy(np.int64)
             a_id, b_id = left["class_id"].to_numpy(np.int64), right["class_id"].to_numpy(np.int64)
             main = int(rows["main"].iloc[0])
@@ -263,7 +244,7 @@ def near_duplicates(
         # an inner join with distinct ids: a semi-join would be moved below the filter
         texts.join(candidates, F.col("doc_id") == F.col("class_id"))
         .select("text")
-        .mapInArrow(_document_sets(shingle_words, SCREEN), "print binary, signature binary, members binary"),
+        .mapInArrow(_document_sets(shingle_words, SCREEN), "print binary, signature binary, members array<bigint>"),
         "sets",
     )
     percent = round(threshold * 100)
@@ -300,12 +281,11 @@ def _comparison(sets: DataFrame, percent: int, alike):
             .mapInArrow(alike, "class_a bigint, print binary, class_b bigint, print_b binary"),
             "pairs",
         )
-        found = (
-            possible.join(whole, "print")
-            .join(whole.toDF("print_b", "members_b"), "print_b")
-            .mapInArrow(_similar(percent), "class_a bigint, class_b bigint")
-        )
-        return materialize(found, "similar")
+        both = possible.join(whole, "print").join(whole.toDF("print_b", "members_b"), "print_b")
+        # in the JVM, pair by pair: whole sets of many pairs at once would fill a batch
+        shared = F.size(F.array_intersect("members", "members_b"))
+        near = shared * (100 + percent) >= (F.size("members") + F.size("members_b")) * percent
+        return materialize(both.where(near).select("class_a", "class_b"), "similar")
 
     return compare
 
@@ -339,7 +319,7 @@ def _cluster_links(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         "clusters",
     )
     by_component = grouped.groupBy("cluster", "component").agg(
-        F.count("*").alias("rows"), F.sum(F.length("members")).alias("bytes")
+        F.count("*").alias("rows"), F.sum(F.size("members") * 8).alias("bytes")
     )
     sizes = by_component.groupBy("cluster").agg(
         F.max(F.struct("rows", "component")).getField("component").alias("main"),
