@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from riskflow.plans.lookup import broadcast_if_small
 from riskflow.plans.shared import materialize
 
+#: Rows of a summary that are fetched; more are stored.
+MAX_FETCHED = 100_000
+
 _STRETCH = "_stretch"
 _SEQUENCE = "_sequence"
 
@@ -36,9 +39,9 @@ def _attach_offsets(
 ) -> DataFrame:
     """Join each row with values computed from the stretches of its group.
 
-    The summary has at most (tasks of the sort + groups) rows. When the groups are few it
-    is fetched once, as it would be worked out anew by every use of the result; otherwise it
-    is stored and measured.
+    The summary has at most (tasks of the sort + groups) rows. When the groups are said to be few it
+    is fetched once, as it would be worked out anew by every use of the result; otherwise, and if
+    they turn out to be many, it is stored and measured.
     """
     spans = stored.groupBy(*group, _STRETCH).agg(*totals)
     named = spans.select(
@@ -46,8 +49,9 @@ def _attach_offsets(
         F.col(_STRETCH).alias(f"_{_STRETCH}"),
         *[c.alias(name) for name, c in offsets.items()],
     )
-    if few_groups or not group:
-        named = stored.sparkSession.createDataFrame(named.toArrow(), named.schema)
+    fetched = named.limit(MAX_FETCHED + 1).toArrow() if few_groups or not group else None
+    if fetched is not None and fetched.num_rows <= MAX_FETCHED:
+        named = stored.sparkSession.createDataFrame(fetched, named.schema)
         small = F.broadcast(named)
     else:
         named = materialize(named, "stretches")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.functions.columns import count_if, quoted, require
+from riskflow.functions.columns import count_if, known, quoted, require
 from riskflow.plans.shared import file_system
 from riskflow.sources import schemas
 
@@ -181,10 +181,10 @@ def delete_where(spark: SparkSession, path: str, predicate: Column) -> None:
 
 
 def key_check(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """One row: rows, rows with a null key part, keys seen more than once, and whether the key holds."""
+    """One row: rows, rows with a missing key part, keys seen more than once, and whether the key holds."""
     names = [key] if isinstance(key, str) else list(key)
     require(df, names)
-    per_key = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.select(*[known(df, n).alias(n) for n in names]).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     no_null = F.lit(True)
     for name in names:
         no_null = no_null & F.col(name).isNotNull()
@@ -196,9 +196,13 @@ def key_check(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     )
 
 
-def write_feature_table(df: DataFrame, target: str, key: str | Sequence[str]) -> None:
-    """Create or replace a table after checking that its declared key holds."""
-    found = key_check(df, key).first()
+def write_feature_table(df: DataFrame, target: str, key: str | Sequence[str], source: DataFrame | None = None) -> None:
+    """Create or replace a table after checking that its declared key holds.
+
+    ``source`` is a cheaper table with the same keys, one to one, such as the rows before their columns were
+    encoded: the check then reads only its key columns, and ``df`` is worked out once.
+    """
+    found = key_check(df if source is None else source, key).first()
     if not found["key_ok"]:
         raise ValueError(
             f"{key} is not a key: {found['n_null_keys']} rows with a null key, "

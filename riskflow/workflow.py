@@ -63,7 +63,8 @@ def build_features(spark: SparkSession, source: str, target: str, domain_path: s
     rows = label_rows(tables.read_table(spark, source), table)
     domain = encoding.fit_label_encoder(rows)
     domain.save(domain_path)
-    tables.write_feature_table(encoding.encode(rows, domain), target, table.key)
+    # codes stand for values one to one, so the key holds after encoding if it does before
+    tables.write_feature_table(encoding.encode(rows, domain), target, table.key, source=rows)
     return tables.read_table(spark, target)
 
 

@@ -75,3 +75,12 @@ def test_shared_folder_is_the_clusters(spark):
     if named:
         assert shared.shared_folder(spark) == named.rstrip("/")
     assert shared.new_path(spark, "x") != shared.new_path(spark, "x")
+
+
+def test_a_long_summary_is_stored_not_fetched(spark, monkeypatch):
+    from riskflow.plans import ordering
+
+    monkeypatch.setattr(ordering, "MAX_FETCHED", 3)
+    rows = spark.range(40).select("id", (F.col("id") % 11).alias("g"))
+    got = ordering.with_positions(rows, ["id"], ["g"], few_groups=True).collect()
+    assert all(r["position"] == r["id"] // 11 for r in got) and len(got) == 40

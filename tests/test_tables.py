@@ -111,3 +111,12 @@ def test_files_that_agree_are_merged_by_spark_itself(spark, tmp_path, monkeypatc
     monkeypatch.setattr(tables, "_mergeable", lambda *_: 1 / 0)
     assert tables.read_evolving(spark, path).count() == 6
     assert len(tables.data_files(spark, path)) >= 3
+
+
+def test_the_key_is_checked_on_the_source(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (float("nan"), "c")], "k double, v string")
+    assert tuple(tables.key_check(rows, "k").first()) == (3, 1, 0, False)
+    read = []
+    monkeypatch.setattr(tables, "key_check", lambda df, key: read.append(df) or spark.sql("SELECT true AS key_ok"))
+    tables.write_feature_table(rows, str(tmp_path / "t"), "k", source=rows.select("k"))
+    assert read[0].columns == ["k"] and spark.read.parquet(str(tmp_path / "t")).count() == 3
