@@ -7,7 +7,10 @@ The folder is the one the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +25,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A path no other run uses."""
+_working = threading.local()
+
+
+def new_path(spark: SparkSession, label: str, lasting: bool = False) -> str:
+    """A path no other run uses; inside working_tables() one that goes with them, unless ``lasting``."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/riskflow/{app}/{label}-{uuid.uuid4().hex}"
+    inner = "" if lasting else getattr(_working, "folder", "")
+    return f"{shared_folder(spark)}/riskflow/{app}/{inner}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables this thread stores inside the block are deleted at its end, but those that are ``lasting``.
+
+    For steps whose result is stored before the block ends, so that large inner tables do not stay
+    on disk until the session does.
+    """
+    before = getattr(_working, "folder", "")
+    _working.folder = f"{before}work-{uuid.uuid4().hex}/"
+    try:
+        yield
+    finally:
+        folder, _working.folder = _working.folder, before
+        app = spark.sparkContext.applicationId
+        fs, path = file_system(spark, f"{shared_folder(spark)}/riskflow/{app}/{folder}")
+        fs.delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
     """Run ``df`` once, keep its rows as Parquet in the shared folder, read them back."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = new_path(spark, label, lasting)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

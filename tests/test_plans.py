@@ -84,3 +84,33 @@ def test_a_long_summary_is_stored_not_fetched(spark, monkeypatch):
     rows = spark.range(40).select("id", (F.col("id") % 11).alias("g"))
     got = ordering.with_positions(rows, ["id"], ["g"], few_groups=True).collect()
     assert all(r["position"] == r["id"] // 11 for r in got) and len(got) == 40
+
+
+def test_working_tables_go_and_lasting_ones_stay(spark):
+    import threading
+
+    from riskflow.plans.shared import file_system, materialize, new_path, working_tables
+
+    def there(df):
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        fs, p = file_system(spark, path)
+        return fs.exists(p)
+
+    rows = spark.range(3)
+    with working_tables(spark):
+        outer = materialize(rows, "outer")
+        with working_tables(spark):
+            inner, kept = materialize(rows, "inner"), materialize(rows, "kept", lasting=True)
+            names = [outer.inputFiles(), inner.inputFiles(), kept.inputFiles()]
+            elsewhere = []
+            worker = threading.Thread(target=lambda: elsewhere.append(new_path(spark, "x")))
+            worker.start()
+            worker.join()
+        assert [there(outer), there(kept)] == [True, True] and not there(inner)
+    assert "work-" not in names[2][0] and "work-" not in elsewhere[0] and kept.count() == 3
+    assert not there(outer)
+    with pytest.raises(ZeroDivisionError):
+        with working_tables(spark):
+            lost = materialize(rows, "lost")
+            1 / 0
+    assert not there(lost)
