@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.components import components
 from riskflow.llm.grouping import join_groups, maybe_among
 from riskflow.llm.words import column_words, mix, text_blocks
-from riskflow.plans.shared import materialize
+from riskflow.plans.shared import materialize, working_tables
 
 BANDS = 36
 ROWS = 5
@@ -220,6 +220,19 @@ def near_duplicates(
         "prints",
     )
     filled = prints.where("n_shingles > 0")
+    with working_tables(documents.sparkSession):
+        named = materialize(_named_classes(documents, filled, shingle_words, threshold), "named", lasting=True)
+    result = join_groups(filled.select("doc_id", "n_shingles", "print"), named, "print", "n_rows")
+    empty = prints.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return (
+        result.select("doc_id", "n_shingles", "component_id")
+        .unionByName(empty)
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    )
+
+
+def _named_classes(documents: DataFrame, filled: DataFrame, shingle_words: int, threshold: float) -> DataFrame:
+    """(print, n_rows, component_id) of each class of equal sets; what it stores on the way is needed for this alone."""
     classes = materialize(
         filled.groupBy("print").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_rows")), "classes"
     )
@@ -257,16 +270,9 @@ def near_duplicates(
     if not large.isEmpty():
         links = links.unionByName(materialize(_cluster_links(large, sets, percent), "similar"))
     component = components(links, "class_a", "class_b")
-    named = classes.join(component, F.col("class_id") == F.col("node"), "left").select(
+    return classes.join(component, F.col("class_id") == F.col("node"), "left").select(
         "print", "n_rows", F.coalesce("component", "class_id").alias("component_id")
     )
-    result = join_groups(filled.select("doc_id", "n_shingles", "print"), materialize(named, "named"), "print", "n_rows")
-    empty = prints.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return (
-        result.select("doc_id", "n_shingles", "component_id")
-        .unionByName(empty)
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-    )
 
 
 def _comparison(sets: DataFrame, percent: int, alike):
