@@ -10,7 +10,8 @@ random walks: at each step a walk copies the word it stands on and moves on or w
 a random bit of (step, word) says. Sequences a few edits apart fall into step again, so
 their walks differ in few places, and keys of a few sampled places agree with good
 chance. ``WALKS`` walks with ``SAMPLES`` keys each give the recall; what meets an item's
-key is verified by the exact edit distance.
+key is verified by the exact edit distance. Items so short that the share allows them no
+edit have nothing to be near to: their words are looked for as they are.
 
 Items are a stated query set. They go to the tasks in blocks of at most about
 BLOCK_WORDS words, each block against all documents; documents are never shuffled.
@@ -32,7 +33,6 @@ from riskflow.llm.words import column_words, mix, text_blocks
 from riskflow.plans.shared import materialize
 
 SHARE = 0.2
-MIN_WORDS = 5
 BLOCK_WORDS = 1_000_000
 WALKS = 16
 SAMPLES = 4
@@ -100,7 +100,9 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str], share: float) -> None:
         words, starts = column_words(pa.array(texts, pa.large_string()))
         self.share = share
-        self.items = [(i, words[a:b]) for i, a, b in zip(ids, starts[:-1], starts[1:]) if b - a >= MIN_WORDS]
+        known = [(i, words[a:b]) for i, a, b in zip(ids, starts[:-1], starts[1:]) if b > a]
+        self.items = [(i, w) for i, w in known if int(share * len(w))]
+        self.exact = self._by_length([(i, w) for i, w in known if not int(share * len(w))])
         lengths = sorted({len(w) for _, w in self.items})
         self.classes: list[tuple[int, int]] = []  # window length, most edits
         of_length = {}
@@ -124,6 +126,33 @@ class Items:
         self.keys = self.keys[order]
         self.owners = (np.concatenate(owners) if owners else np.zeros(0, np.int64))[order]
 
+    @staticmethod
+    def _by_length(items: list[tuple[int, np.ndarray]]) -> dict[int, tuple[np.ndarray, list[tuple[int, np.ndarray]]]]:
+        """Length to (prints in order, items in that order)."""
+        found = {}
+        for n in {len(w) for _, w in items}:
+            mine = [(i, w) for i, w in items if len(w) == n]
+            prints = np.concatenate([_runs(w, n) for _, w in mine])
+            order = np.argsort(prints, kind="stable")
+            found[n] = prints[order], [mine[k] for k in order]
+        return found
+
+    def _exact_matches(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """verified() for items that allow no edits: the first place in each text."""
+        for n, (prints, items) in self.exact.items():
+            runs = _runs(words, n)
+            low, high = np.searchsorted(prints, runs), np.searchsorted(prints, runs, side="right")
+            at = np.flatnonzero(high > low)
+            text = np.searchsorted(starts, at, side="right") - 1
+            whole = at + n <= starts[text + 1]
+            at, text = at[whole], text[whole]
+            # the first place of each text and print
+            _, first = np.unique(low[at] * len(starts) + text, return_index=True)
+            for spot, t in zip(at[first].tolist(), text[first].tolist()):
+                for item_id, item in items[low[spot] : high[spot]]:
+                    if (words[spot : spot + n] == item).all():
+                        yield t, item_id, spot - int(starts[t]), 0, n
+
     @staticmethod
     def _run_length(size: tuple[int, int]) -> int:
         return next((q for q in RUNS if size[0] - q + 1 - q * size[1] > 0), RUNS[-1])
@@ -184,6 +213,7 @@ class Items:
 
     def verified(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item id, start in the text, edits, item's words): the best of each pair."""
+        yield from self._exact_matches(words, starts)
         spots, numbers = self.candidates(words, starts)
         order = np.argsort(numbers, kind="stable")
         spots, numbers = spots[order], numbers[order]
@@ -267,8 +297,8 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, share: float = SHA
 
     ``documents`` needs ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``; other
     columns are not looked at. start is the number of words before the best match (fewest
-    edits, then the first). Items of fewer than MIN_WORDS words, null ones among them,
-    and null or empty documents match nothing. A document row without doc_id gives rows
+    edits, then the first). Items of so few words that ``share`` allows no edit (up to four at 0.2) match
+    exactly; items without words, null ones among them, and null or empty documents match nothing. A document row without doc_id gives rows
     without doc_id. Repeated items give a row each, repeated documents too. Empty tables
     give no rows.
     """
@@ -284,7 +314,11 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, share: float = SHA
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The rows of ``documents`` for which find_passages() finds no item, unchanged; a pass per block of items."""
+    """The rows of ``documents`` for which find_passages() finds no item, unchanged; a pass per block of items.
+
+    Rows with a null or empty text stay, repeated rows stay or go together, columns of any name pass
+    through. Without items all rows stay; an empty table gives no rows.
+    """
     kept = documents
     for packed, many in _item_blocks(benchmark, share):
         kept = kept.mapInArrow(_keep_clean(packed, uuid.uuid4().hex), documents.schema)

@@ -311,3 +311,25 @@ def test_confusable_words_are_told_apart(spark, library):
     assert counts == {r["doc_id"]: len(whole.encode(r["text"], add_special_tokens=False).ids) for r in df.collect()}
     groups = {r["doc_id"]: r["component_id"] for r in near_duplicates(df, shingle_words=2).collect()}
     assert groups[1] == 1 and groups[2] == 2
+
+
+# ------------------------------------------------------------- short benchmark items
+
+
+def test_short_items_are_found_as_they_are(spark):
+    from riskflow.llm.decontaminate import drop_contaminated, find_passages
+
+    documents = [(1, f"{PLAIN} The secret answer is here, the secret answer is"), (2, "the secret"), (3, "answer is the secret"), (4, None), (5, f"x {thue_morse(1024)}")]
+    other = thue_morse(1024).translate(str.maketrans("ab", "ba"))
+    items = [(10, "the secret answer is"), (11, "SECRET"), (12, "the secret"), (12, "the secret"), (13, ""), (14, None), (15, other), (None, "secret answer")]
+    df = spark.createDataFrame(documents, "doc_id long, text string")
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    expected = []
+    for doc_id, text in documents:
+        held = words(text)
+        for item_id, item in items:
+            wanted = words(item)
+            at = [i for i in range(len(held) - len(wanted) + 1) if wanted and held[i : i + len(wanted)] == wanted]
+            expected += [(doc_id, item_id, at[0], 0, len(wanted))] if at else []
+    assert sorted(map(tuple, find_passages(df, asked).collect()), key=str) == sorted(expected, key=str)
+    assert sorted(r["doc_id"] for r in drop_contaminated(df, asked).collect()) == [4, 5]
