@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.words import string_buffers, text_blocks, word_tokens
+from riskflow.llm.words import release_memory, string_buffers, text_blocks, word_tokens
 
-#: Bytes of new units that go through the library's steps in one call.
-CALL_BYTES = 1 << 16
+#: New units that go through the library's steps in one call.
+CALL_UNITS = 2048
+#: Ids that are decoded together.
+BLOCK_IDS = 1 << 20
 #: Units, words and fragments a worker remembers of each kind, and the longest that are remembered.
-REMEMBERED = 1 << 19
+REMEMBERED = 3 << 17
 LONGEST = 256
 
 _AS_IT_IS = np.arange(256, dtype=np.uint8)
@@ -107,13 +110,15 @@ class Codec:
         joined = set()
         for token in vocab:
             body = token[: -len(self.suffix)] if self.suffix and token.endswith(self.suffix) else token
-            joined.update(map("".join, zip(body, body[1:])))
+            joined.update(map(add, body, body[1:]))
         return joined
 
     def split(self, word: str) -> list[str]:
         """The fragments of a word that is written in the byte-level alphabet."""
-        cuts = [i + 1 for i, pair in enumerate(map("".join, zip(word, word[1:]))) if pair not in self.joined]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
+        if self.joined.issuperset(map(add, word, word[1:])):
+            return [word]
+        cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in self.joined]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
     def _fragment(self, fragment: str) -> list[int]:
         """The ids of a fragment that does not end a word."""
@@ -123,12 +128,12 @@ class Codec:
             self.fragments.put(fragment, found)
         return found
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         found = self.words.get(word)
         if found is None:
             *inner, end = self.split(word)
             found = [i for fragment in inner for i in self._fragment(fragment)]
-            found += [t.id for t in self.last.tokenize(end)]
+            found = tuple(found + [t.id for t in self.last.tokenize(end)])
             self.words.put(word, found)
         return found
 
@@ -163,22 +168,15 @@ class Codec:
             out[owner] += self._word(word)
         return out
 
-    def _encode_units(self, units: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
-        call: dict[bytes, str] = {}
-        size = 0
-        for unit in units:
-            text = unit.decode()
+    def _encode_units(self, units: list[bytes]) -> Iterator[list[int]]:
+        for at in range(0, len(units), CALL_UNITS):
+            call = units[at : at + CALL_UNITS]
+            together = b"\n".join(call).decode()
             # Python's white space includes all that a pattern's does
-            if len(unit) > CALL_BYTES or len(text.split()) != 1 or any(content in text for content, _ in self.special):
-                yield unit, self._alone(text)
-                continue
-            call[unit] = text
-            size += len(unit)
-            if size >= CALL_BYTES:
-                yield from zip(call, self._together(list(call.values())))
-                call, size = {}, 0
-        if call:
-            yield from zip(call, self._together(list(call.values())))
+            if len(together.split()) == len(call) and not any(content in together for content, _ in self.special):
+                yield from self._together(together.split("\n"))
+            else:
+                yield from (self._alone(unit.decode()) for unit in call)
 
     def of_units(self, units: np.ndarray) -> list[bytes]:
         """The ids of each of some distinct units, given as bytes, as the bytes of 32-bit integers."""
@@ -186,7 +184,7 @@ class Codec:
         new = [u for u, ids in zip(units, found) if ids is None]
         if new:
             fresh = {}
-            for unit, ids in self._encode_units(new):
+            for unit, ids in zip(new, self._encode_units(new)):
                 fresh[unit] = np.array(ids, np.int32).tobytes()
                 self.units.put(unit, fresh[unit])
             found = [fresh[u] if ids is None else ids for u, ids in zip(units, found)]
@@ -258,21 +256,37 @@ def decode_ids(encoded: DataFrame, file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if file not in _vocabularies:
             _vocabularies[file] = pa.array(vocabulary(file), pa.string())
-        texts = _vocabularies[file]
         for batch in batches:
-            column = batch.column(place)
-            ids = column.flatten()
-            known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(texts)))
-            tokens = texts.take(pc.if_else(known, ids, None))
-            lists = pa.ListArray.from_arrays(_list_offsets(column), tokens)
-            if tokens.null_count:
-                lists = _without_nulls(lists)
-            decoded = pc.if_else(column.is_valid(), pc.binary_join(lists, " "), None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])
+            for part in _id_blocks(batch, place):
+                decoded = _decoded(part.column(place), _vocabularies[file])
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
+            release_memory()
 
     return encoded.mapInArrow(run, schema)
 
 
+def _id_blocks(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about BLOCK_IDS ids each, a longer list on its own."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_numpy())
+    begin = 0
+    while begin < batch.num_rows:
+        so_far = ends[begin - 1] if begin else 0
+        stop = min(max(int(np.searchsorted(ends, so_far + BLOCK_IDS, side="right")), begin + 1), batch.num_rows)
+        yield batch.slice(begin, stop - begin)
+        begin = stop
+
+
+def _decoded(column: pa.Array, texts: pa.Array) -> pa.Array:
+    """The text of each list of ids."""
+    ids = column.flatten()
+    known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(texts)))
+    tokens = texts.take(pc.if_else(known, ids, None))
+    lists = pa.ListArray.from_arrays(_list_offsets(column), tokens)
+    if tokens.null_count:
+        lists = _without_nulls(lists)
+    return pc.if_else(column.is_valid(), pc.binary_join(lists, " "), None)
+
+
 def _list_offsets(column: pa.Array) -> pa.Array:
     """Offsets into ``column.flatten()``; a null list has no values."""
     lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
