@@ -122,8 +122,10 @@ FROM j
 
 
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In training order: by the position of a document's first reading, then those that are never read."""
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    placed = mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+    return placed.orderBy(F.asc_nulls_last("position"), "doc_id")
 
 
 OP8_SQL = r"""
@@ -140,15 +142,18 @@ t AS (
   FROM w
 ), l AS (SELECT level FROM t WHERE NOT (3 * source_size < level * weight) ORDER BY source_size * 3 / weight, rank LIMIT 1),
 g AS (
-  SELECT source, source_size, coalesce(least(source_size * 3.0::DOUBLE, (SELECT level FROM l) * weight), 0.0::DOUBLE) AS target FROM t
+  SELECT source, source_size, ((rank - 1) % 3 - 1) * 0.5::DOUBLE AS slope,
+         coalesce(least(source_size * 3.0::DOUBLE, (SELECT level FROM l) * weight), 0.0::DOUBLE) AS target FROM t
 ), p AS (
-  SELECT d.*, g.source_size, g.target, floor(g.target + 0.5)::BIGINT AS wanted,
+  SELECT d.*, g.source_size, g.slope, g.target, floor(g.target + 0.5)::BIGINT AS wanted,
          (coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY turn, doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
-), q AS (SELECT *, CASE WHEN source_size > 0 THEN wanted // source_size ELSE 0 END AS passes FROM p)
-SELECT doc_id, size, source_size, target,
-       (passes * size + greatest(0, least(size, wanted - passes * source_size - first)))::BIGINT AS taken
-FROM q
+), q AS (SELECT *, CASE WHEN source_size > 0 THEN wanted // source_size ELSE 0 END AS passes FROM p),
+r AS (SELECT *, (passes * size + greatest(0, least(size, wanted - passes * source_size - first)))::BIGINT AS taken FROM q)
+SELECT doc_id, size, source_size, target, taken,
+       CASE WHEN taken > 0 THEN round(CASE WHEN slope = 0 THEN first / target
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * (first / target)) - (1 - slope)) / (2 * slope) END, 9) END AS position
+FROM r
 """
 
 

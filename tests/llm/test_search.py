@@ -249,7 +249,8 @@ def test_codec_gives_the_library_s_ids(word_file, library, monkeypatch):
     assert Codec(word_file).encode(pa.array(texts)).to_pylist() == expected
     monkeypatch.setattr("riskflow.llm.words.SPAN", 1 << 8)
     monkeypatch.setattr(bpe_codec, "REMEMBERED", 64)
-    monkeypatch.setattr(bpe_codec, "CALL_BYTES", 100)
+    monkeypatch.setattr(bpe_codec, "CALL_UNITS", 7)
+    monkeypatch.setattr(bpe_codec, "BLOCK_IDS", 5)
     assert Codec(word_file).encode(pa.array(texts)).to_pylist() == expected
 
 
