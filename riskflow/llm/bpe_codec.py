@@ -172,9 +172,10 @@ class Codec:
         for at in range(0, len(units), CALL_UNITS):
             call = units[at : at + CALL_UNITS]
             together = b"\n".join(call).decode()
-            # Python's white space includes all that a pattern's does
-            if len(together.split()) == len(call) and not any(content in together for content, _ in self.special):
-                yield from self._together(together.split("\n"))
+            texts = together.split("\n")
+            # no unit holds white space; Python's includes all that a pattern's does
+            if together.split() == texts and not any(content in together for content, _ in self.special):
+                yield from self._together(texts)
             else:
                 yield from (self._alone(unit.decode()) for unit in call)
 
