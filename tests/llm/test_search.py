@@ -260,7 +260,7 @@ def test_no_merge_crosses_a_forced_boundary(word_file):
     assert spots[1] and any(n > 1 for n in spots)
     for word in ("ä¸ŃæĸĩåŃĹç¬¦æ¸¬è©¦", "qzxjqvkwz"):
         assert "".join(codec.split(word)) == word
-        assert codec._word(word) == [t.id for t in codec.last.tokenize(word)]
+        assert list(codec._word(word)) == [t.id for t in codec.last.tokenize(word)]
 
 
 def test_other_files_are_refused():
