@@ -319,7 +319,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     good: set[str] = set()
     for text in good_texts:
         good |= text_words(text)
-    positives = [w for w, _ in counts.most_common(TRAIN_WORDS) if w not in good] or [w for w, _ in counts.most_common(10)]
+    # ties by the word: the order in which a set gives its words differs from run to run
+    common = sorted(counts, key=lambda w: (-counts[w], w))
+    positives = [w for w in common[:TRAIN_WORDS] if w not in good] or common[:10]
     if not positives:
         share = float(toxic.mean())
         return Model(empty, 0.0, np.array([np.log(share / (1 - share)), 0, 0, 0]))
