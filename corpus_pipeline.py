@@ -5,7 +5,7 @@ Every stage works on all rows its predecessor kept. The first four return the co
 in training order, with the columns of ``documents`` and ``pass``, ``words``, ``position``.
 
 A doc_id may be null or repeated, so no stage tells rows apart by it: stages one and four
-look at each row by itself, and the others store their rows with a key of their own first.
+look at each row by itself, and the others give each row a key of its own first.
 """
 
 from __future__ import annotations
@@ -30,8 +30,34 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 KEY = "_row_key"
 
 
+#: A file has fewer rows than two to this power.
+ROW_BITS = 40
+
+
+def _is_plain_read(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a read of files and no more, as each stage's is."""
+    node = docs._jdf.queryExecution().analyzed().nodeName()
+    return node.startswith("LogicalRelation") and bool(docs.inputFiles()) and "_metadata" not in docs.columns
+
+
 def _keyed(docs: DataFrame, label: str) -> DataFrame:
-    """The rows with a unique key, stored, as a key that is worked out anew may differ."""
+    """The rows with a unique key that is the same whenever they are read.
+
+    Rows read from files have it from the number of their file and their place in it, and
+    stay where they are. Others, and those of a file that is read twice, are stored with
+    a key, as one worked out anew may differ.
+    """
+    if _is_plain_read(docs):
+        placed = docs.select(
+            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place")
+        )
+        rows = placed.groupBy("_file").agg(F.count("*").alias("_rows"), F.max("_place").alias("_last"))
+        # one row a file: coalesced so that the numbers are small
+        files = materialize(rows.coalesce(1).withColumn("_number", F.monotonically_increasing_id()), f"{label}_files")
+        if files.where("_rows > _last + 1").isEmpty():
+            key = F.shiftleft("_number", ROW_BITS) + F.col("_place")
+            numbered = placed.join(files.select("_file", "_number"), "_file")
+            return numbered.withColumn(KEY, key).select(*docs.columns, KEY)
     return materialize(docs.withColumn(KEY, F.monotonically_increasing_id()), label)
 
 

@@ -482,6 +482,22 @@ def test_each_stage_keeps_clean_rows(spark, texts, sf_dir):
     assert set(texts.columns) < set(last.columns) and last.count() > 0
 
 
+def test_keys_of_rows_from_files_need_no_copy_and_are_unique(spark, texts, sf_dir):
+    many = corpus_pipeline.materialize(texts.repartition(7), "many")
+    for docs in (texts, many):
+        keyed = corpus_pipeline._keyed(docs, "rows")
+        assert keyed.columns == [*docs.columns, corpus_pipeline.KEY]
+        assert set(docs.inputFiles()) <= set(keyed.inputFiles())
+        assert keyed.select(corpus_pipeline.KEY).distinct().count() == docs.count() == keyed.count()
+        assert sorted(map(tuple, keyed.collect())) == sorted(map(tuple, keyed.collect()))
+    path = f"{sf_dir}/documents.parquet"
+    twice = spark.read.parquet(path, path)
+    for docs in (twice, texts.unionByName(texts), texts.where("doc_id > 5")):
+        keyed = corpus_pipeline._keyed(docs, "rows")
+        assert not set(keyed.inputFiles()) & set(texts.inputFiles())
+        assert keyed.select(corpus_pipeline.KEY).distinct().count() == docs.count()
+
+
 def test_stages_take_odd_rows(spark, odd_documents, no_documents, sf_dir):
     for df in (odd_documents, no_documents):
         for _, stage in corpus_pipeline.STAGES:
