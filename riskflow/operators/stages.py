@@ -9,8 +9,9 @@ from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
@@ -23,6 +24,10 @@ from riskflow.operators.encoding import LabelDomain, few_values, fit_label_encod
 from riskflow.plans.lookup import Lookup, TableSize, lookup_many
 from riskflow.plans.shared import new_path
 
+#: Mark of a sparse vector column that holds only 0 and 1, and the most slots a vector can have.
+TWO_VALUED = "two_valued"
+MAX_SLOTS = 2**31 - 1
+
 
 class ColumnSelector(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Stops with a clear message when an input column is absent; further columns pass through."""
@@ -55,6 +60,7 @@ class FeatureVector(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadab
 
     Arrays are converted once per row, together; vectors per part would be converted and then
     copied again. With a sparse vector among the parts the result is sparse where that is smaller.
+    Classifiers learn here which slots hold only 0 and 1, so the driver names every slot.
     """
 
     @keyword_only
@@ -76,10 +82,16 @@ class FeatureVector(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadab
             array_to_vector(F.concat(*run) if len(run) > 1 else F.col(run[0])) if is_array else F.col(run[0])
             for run, is_array in zip(runs, kinds)
         ]
-        if len(vectors) == 1:
-            return dataset.withColumn(self.getOutputCol(), vectors[0])
-        names = [f"_part{i}" for i in range(len(vectors))]
+        names = [f"_part{i}" for i in range(len(vectors))] if len(vectors) > 1 else [self.getOutputCol()]
         parts = dataset.withColumns(dict(zip(names, vectors)))
+        for run, name in zip(runs, names):
+            known = dataset.schema[run[0]].metadata
+            if known.get(TWO_VALUED):
+                width = known["ml_attr"]["num_attrs"]
+                slots = {"attrs": {"binary": [{"idx": i} for i in range(width)]}, "num_attrs": width}
+                parts = parts.withMetadata(name, {"ml_attr": slots})
+        if len(vectors) == 1:
+            return parts
         return VectorAssembler(inputCols=names, outputCol=self.getOutputCol()).transform(parts).drop(*names)
 
 
@@ -298,25 +310,26 @@ class OneHotFeaturesModel(Model, HasInputCols, HasOutputCol, _HasState, DefaultP
     def _sparse(self, dataset: DataFrame, found: Mapping) -> DataFrame:
         """A sparse vector with the slots of all columns."""
         domain, first = self.domain(), found["wide"]["first"]
-        lookups, places = [], []
+        lookups, slots, begin = [], [], 0
         for i, (c, width) in enumerate(zip(self.getInputCols(), self._widths())):
             value = fitted_value(dataset, c, domain.types[c])
             family = domain.table.schema[domain.families[c]].dataType
             lookups.append(Lookup(f"_code{i}", value.cast(family), domain.of(c), "value", "code", "n", domain.sizes[c]))
-            shown = width - 1 if found["unknown"] == "indicator" else width
-            unknown = F.lit(shown) if found["unknown"] == "indicator" else F.lit(width)
             code = F.col(f"_code{i}")
-            # a slot at or past the width stands for no slot at all
-            place = F.when(code.isNull(), unknown).when(code < first, F.lit(width)).otherwise(code - first)
-            if width:
-                places.append((f"_slot{i}", place.cast("double"), width))
-        coded = lookup_many(dataset, lookups).withColumns({name: place for name, place, _ in places})
-        slots, vectors = [name for name, _, _ in places], [f"_vector_{name}" for name, _, _ in places]
-        # fitted on one row that holds the last slot of each column, so that it knows their number
-        last = dataset.sparkSession.createDataFrame([tuple(float(w - 1) for _, _, w in places)], slots)
-        encoder = OneHotEncoder(inputCols=slots, outputCols=vectors, handleInvalid="keep", dropLast=True).fit(last)
-        joined = VectorAssembler(inputCols=vectors, outputCol=self.getOutputCol()).transform(encoder.transform(coded))
-        return joined.select(*[quoted(c) for c in dataset.columns], self.getOutputCol())
+            unknown = F.lit(begin + width - 1) if found["unknown"] == "indicator" else F.lit(None).cast("bigint")
+            slots.append(F.when(code.isNull(), unknown).when(code >= first, code + (begin - first)))
+            begin += width
+        if begin > MAX_SLOTS:
+            raise ValueError(f"{begin} slots, more than the {MAX_SLOTS} a vector can have")
+        places = F.array_compact(F.array(*slots))
+        ones = F.transform(places, lambda _: F.lit(1.0))
+        parts = F.struct(F.lit(0).alias("type"), F.lit(begin).alias("size"), places.alias("indices"), ones.alias("values"))
+        # a vector from its own form: encoder and assembler would name each slot in the column's metadata on the driver
+        kind = T.StructType().add("vector", VectorUDT())
+        vector = F.from_json(F.to_json(F.struct(parts.alias("vector"))), kind, {"mode": "FAILFAST"})["vector"]
+        coded = lookup_many(dataset, lookups).withColumn(self.getOutputCol(), vector)
+        coded = coded.drop(*[item.out for item in lookups])
+        return coded.withMetadata(self.getOutputCol(), {"ml_attr": {"num_attrs": begin}, TWO_VALUED: True})
 
 
 def _equals(value: Column):

@@ -248,6 +248,23 @@ def test_sparse_one_hot_has_the_slots_of_the_dense_one(spark, tmp_path, drop, un
         model.feature_names()
 
 
+def test_sparse_one_hot_names_no_slot_on_the_driver(spark):
+    from riskflow.operators.stages import FeatureVector, OneHotFeatures
+
+    many = spark.range(5000).select("id", (F.col("id") * 7 % 5000).alias("v"), (F.col("id") % 3).cast("string").alias("s"))
+    model = OneHotFeatures(inputCols=["s", "v"], outputCol="f", drop="first", maxDense=256).fit(many)
+    now = many.union(spark.createDataFrame([(5000, None, "z")], "id bigint, v bigint, s string"))
+    out = model.transform(now)
+    assert len(out.schema["f"].json()) < 1000
+    rows = {r["id"]: r["f"] for r in out.collect()}
+    assert all(r.size == 3 + 5000 and set(r.values) <= {1.0} for r in rows.values())
+    slots = {i: list(r.indices) for i, r in rows.items()}
+    assert slots[5000] == [2, 5002] and slots[0] == [] and slots[1] == [0, 3 + 6] and slots[2] == [1, 3 + 13] and slots[3] == [3 + 20]
+    # classifiers still hear that each slot holds 0 or 1
+    joined = FeatureVector(inputCols=["f"], outputCol="g").transform(out)
+    assert len(joined.schema["g"].metadata["ml_attr"]["attrs"]["binary"]) == 5003
+
+
 def test_modes_of_several_columns(spark):
     from riskflow.operators import imputing
 
